@@ -57,10 +57,11 @@ def mark_speakers(
 def turns_by_call(turns: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows ``(keys, pos, speaker, text)`` to one row per call with its ordered ``turns``.
 
-    A call is one output cell, so its turns meet in one task by definition; the turns of different
+    Texts are cleaned and blank turns dropped, as for turns read from a record. A call is one output cell, so its turns meet in one task by definition; the turns of different
     calls never do.
     """
-    return turns.groupBy(*keys).agg(
+    spoken = turns.where(strip("text") != "").withColumn("text", clean_text("text"))
+    return spoken.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", "speaker", "text"))).alias("turns")
     )
 

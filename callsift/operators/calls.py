@@ -20,6 +20,7 @@ from callsift.functions.text import (
     strip,
 )
 from callsift.operators.ranking import first_per_key
+from callsift.operators.shaping import computed_once
 
 TRANSCRIPT_LINES = 5000
 
@@ -84,18 +85,19 @@ def with_call_texts(
     agent: Iterable[str] = lex.AGENT_ALIASES,
 ) -> DataFrame:
     """From ``turns`` to turn counts and the three texts; calls without text are dropped."""
-    marked = calls.withColumn("turns", mark_speakers("turns", customer, agent))
+    marked = computed_once(calls, {"turns": mark_speakers("turns", customer, agent)})
+    is_customer = F.filter("turns", lambda t: F.coalesce(t["is_customer"], F.lit(False)))
     return (
-        marked.withColumn("n_turns", F.size("turns").cast("long"))
-        .withColumn(
-            "n_customer_turns",
-            F.size(F.filter("turns", lambda t: F.coalesce(t["is_customer"], F.lit(False)))).cast(
-                "long"
-            ),
+        computed_once(
+            marked,
+            {
+                "n_turns": F.size("turns").cast("long"),
+                "n_customer_turns": F.size(is_customer).cast("long"),
+                "customer_text": role_text("turns", True),
+                "agent_text": role_text("turns", False),
+                "full_text": full_text("turns"),
+            },
         )
-        .withColumn("customer_text", role_text("turns", True))
-        .withColumn("agent_text", role_text("turns", False))
-        .withColumn("full_text", full_text("turns"))
         .where(F.col("full_text") != "")
         .drop("turns")
     )
@@ -162,18 +164,16 @@ def refine_calls(
     negative: Iterable[str] = lex.REFINE_NEGATIVE,
 ) -> DataFrame:
     """Strict domain filter on the preferred text, re-segmented where there is no customer text."""
-    texts = calls.withColumn("_cust", F.coalesce(strip("customer_text"), F.lit(""))).withColumn(
-        "full_text", F.coalesce(strip("full_text"), F.lit(""))
-    )
+    texts = calls.withColumn("customer_text", F.coalesce(strip("customer_text"), F.lit("")))
+    texts = texts.withColumn("full_text", F.coalesce(strip("full_text"), F.lit("")))
     prefixed = F.rlike("full_text", F.lit(_prefix_pattern(lex.PREFIX_ROLES)))
     found = F.when(
-        (F.col("_cust") == "") & prefixed, resegment_by_prefix("full_text")["customer_text"]
-    ).otherwise(F.col("_cust"))
-    return (
-        texts.withColumn("customer_text", found)
-        .where(F.coalesce(empty_to_null("customer_text"), F.col("full_text")) != "")
-        .where(pos_and_not_neg(prefer_customer("customer_text", "full_text"), positive, negative))
-        .withColumn("customer_text", empty_to_null("customer_text"))
-        .withColumn("full_text", empty_to_null("full_text"))
-        .drop("_cust")
+        (F.col("customer_text") == "") & prefixed, resegment_by_prefix("full_text")["customer_text"]
+    ).otherwise(F.col("customer_text"))
+    shaped = computed_once(
+        texts, {"customer_text": empty_to_null(found), "full_text": empty_to_null("full_text")}
+    )
+    preferred = F.coalesce("customer_text", "full_text")
+    return shaped.where(preferred.isNotNull()).where(
+        pos_and_not_neg(preferred, positive, negative)
     )

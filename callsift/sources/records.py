@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callsift.functions.text import _col, clean_text, strip
 from callsift.operators.calls import split_transcript
+from callsift.operators.shaping import computed_once
 
 # --- fixed values: the keys a record may use, in order of preference ----------------------------
 
@@ -34,9 +35,8 @@ def decode_json(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         "map('allowSingleQuotes', 'false'))"
     )
     is_object = F.rlike("raw", F.lit(r"\A[ \t\r\n]*\{"))
-    parsed = members.withColumn("_all", F.when(is_object, whole)).withColumn(
-        "rec", F.when(F.size("_all") == 1, F.get("_all", F.lit(0)))
-    ).drop("_all")
+    only = F.transform(F.array(whole), lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0))))
+    parsed = computed_once(members, {"rec": F.get(F.when(is_object, only), F.lit(0))})
     ok = F.col("rec").isNotNull() & (F.size("rec") > 0)
     good = parsed.where(F.coalesce(ok, F.lit(False)))
     rejects = parsed.where(~F.coalesce(ok, F.lit(False))).select(
@@ -66,22 +66,25 @@ def _string(v: Column) -> Column:
 
 def _truthy(v: Column) -> Column:
     """The value as text unless it is empty, zero, false or missing."""
-    text = v.cast("string")
-    kind = _kind(v)
-    empty = (
-        v.isNull()
-        | (kind == "VOID")
-        | ((kind == "STRING") & (text == ""))
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (kind.rlike("^(BIGINT|DECIMAL|DOUBLE)") & text.rlike(r"^-?0+(\.0+)?(E.*)?$"))
-        | text.isin("[]", "{}") & kind.rlike("^(ARRAY|OBJECT)")
+    kind, text = _kind(v), v.cast("string")
+    return (
+        F.when(kind == "STRING", F.nullif(text, F.lit("")))
+        .when(kind == "VOID", F.lit(None).cast("string"))
+        .when(kind == "BOOLEAN", F.nullif(text, F.lit("false")))
+        .when(kind.rlike("^(ARRAY|OBJECT)"), F.when(~text.isin("[]", "{}"), text))
+        .otherwise(F.when(~text.rlike(r"^-?0+(\.0+)?(E.*)?$"), text))
     )
-    return F.when(~F.coalesce(empty, F.lit(True)), text)
 
 
-def first_field(rec: Column | str, keys: Sequence[str]) -> Column:
-    """First key with a non-empty value, as text."""
-    return F.coalesce(*[_truthy(field(rec, k)) for k in keys])
+def with_fields(good: DataFrame) -> DataFrame:
+    """Pull every key that is looked at out of ``rec`` once, as a variant column ``_key``."""
+    keys = dict.fromkeys((*DOMAIN_KEYS, *TOPIC_KEYS, *TRANSCRIPT_KEYS, *TURN_KEYS))
+    return good.select("*", *[field("rec", k).alias(f"_{k}") for k in keys])
+
+
+def first_field(keys: Sequence[str]) -> Column:
+    """First key with a non-empty value, as text; needs ``with_fields``."""
+    return F.coalesce(*[_truthy(F.col(f"_{k}")) for k in keys])
 
 
 def _as_list(v: Column) -> Column:
@@ -94,87 +97,118 @@ def _item(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "variant")
 
 
-def extract_plain_text(rec: Column | str) -> Column:
-    """The record's text without speakers.
+def _is_object(v: Column) -> Column:
+    return F.startswith(_kind(v), F.lit("OBJECT"))
+
+
+def extract_plain_text(fields: DataFrame, out: str = "text") -> DataFrame:
+    """Add the record's text without speakers; needs ``with_fields``.
 
     A transcript string wins even when empty; then the first list that yields any text; then every
     top-level string of 5 to 20,000 characters in document order.
     """
-    direct = [_string(field(rec, k)) for k in TRANSCRIPT_KEYS]
-    lists = []
-    for key in PLAIN_LIST_KEYS:
-        pieces = F.flatten(
+    pieces = [
+        F.flatten(
             F.transform(
-                _as_list(field(rec, key)),
+                _as_list(F.col(f"_{key}")),
                 lambda item: F.when(
-                    F.startswith(_kind(item), F.lit("OBJECT")),
+                    _is_object(item),
                     F.array_compact(F.array(*[_string(_item(item, k)) for k in TEXT_KEYS])),
                 ).otherwise(F.array_compact(F.array(_string(item)))),
             )
-        )
-        lists.append(F.when(F.size(pieces) > 0, F.array_join(pieces, "\n")))
+        ).alias(f"_parts_{key}")
+        for key in PLAIN_LIST_KEYS
+    ]
+    direct = [_string(F.col(f"_{k}")) for k in TRANSCRIPT_KEYS]
+    lists = [
+        F.when(F.size(f"_parts_{k}") > 0, F.array_join(f"_parts_{k}", "\n"))
+        for k in PLAIN_LIST_KEYS
+    ]
     lo, hi = LOOSE_TEXT_LENGTHS
     loose = F.filter(
-        F.transform(F.map_values(_col(rec)), _string),
+        F.transform(F.map_values("rec"), _string),
         lambda s: s.isNotNull() & F.length(s).between(lo, hi),
     )
-    return F.coalesce(*direct, *lists, F.array_join(loose, "\n"))
+    return (
+        fields.select("*", *pieces)
+        .withColumn(out, F.coalesce(*direct, *lists, F.array_join(loose, "\n")))
+        .drop(*[f"_parts_{k}" for k in PLAIN_LIST_KEYS])
+    )
 
 
 def _turn(item: Column) -> Column:
-    """``(speaker, text)`` of a list item; null when it has no text."""
-    speaker = F.coalesce(*[_truthy(_item(item, k)) for k in SPEAKER_KEYS], F.lit(""))
-    # the first non-empty key decides, and it must hold a string
-    choice = F.coalesce(*[F.when(_truthy(_item(item, k)).isNotNull(), _item(item, k)) for k in TEXT_KEYS])
-    text = F.when(F.startswith(_kind(item), F.lit("OBJECT")), _string(choice)).otherwise(_string(item))
-    who = F.when(F.startswith(_kind(item), F.lit("OBJECT")), speaker).otherwise(F.lit(""))
+    """``(speaker, text)`` of an unpacked list item; null when it has no text.
+
+    The first non-empty text key decides, and it must hold a string.
+    """
+    who = F.coalesce(*[_truthy(item[k]) for k in SPEAKER_KEYS], F.lit(""))
+    said = F
+    for key in TEXT_KEYS:
+        said = said.when(_truthy(item[key]).isNotNull(), _string(item[key]))
+    text = F.coalesce(item["bare"], said)
     return F.when(
         strip(text) != "", F.struct(who.alias("speaker"), clean_text(text).alias("text"))
     )
 
 
-def extract_turns(rec: Column | str) -> Column:
-    """Ordered array of ``(pos, speaker, text)``.
+def extract_turns(fields: DataFrame, out: str = "turns") -> DataFrame:
+    """Add the ordered array of ``(pos, speaker, text)``; needs ``with_fields``.
 
     The first key that holds a list ends the search, even when it yields no turn; without turns a
     transcript string is split into lines.
     """
-    chosen = F.coalesce(*[_as_list(field(rec, k)) for k in TURN_KEYS])
-    found = F.array_compact(F.transform(chosen, _turn))
+    chosen = F.coalesce(*[_as_list(F.col(f"_{k}")) for k in TURN_KEYS])
+    unpacked = F.transform(
+        F.col("_list"),
+        lambda item: F.struct(
+            _string(item).alias("bare"),
+            *[_item(item, k).alias(k) for k in (*SPEAKER_KEYS, *TEXT_KEYS)],
+        ),
+    )
     numbered = F.transform(
-        found,
+        "_found",
         lambda t, i: F.struct(
             i.cast("long").alias("pos"), t["speaker"].alias("speaker"), t["text"].alias("text")
         ),
     )
-    transcript = F.coalesce(
-        *[F.when(strip(_string(field(rec, k))) != "", _string(field(rec, k))) for k in TRANSCRIPT_KEYS]
-    )
+    transcript = F
+    for key in TRANSCRIPT_KEYS:
+        text = _string(F.col(f"_{key}"))
+        transcript = transcript.when(strip(text) != "", text)
     empty = F.array().cast("array<struct<pos:bigint,speaker:string,text:string>>")
-    return F.when(F.size(numbered) > 0, numbered).otherwise(
-        F.coalesce(split_transcript(transcript), empty)
+    return (
+        fields.withColumn("_list", chosen)
+        .withColumn("_items", unpacked)
+        .withColumn("_found", F.array_compact(F.transform("_items", _turn)))
+        .withColumn(
+            out,
+            F.when(F.size("_found") > 0, numbered).otherwise(
+                F.coalesce(split_transcript(transcript), empty)
+            ),
+        )
+        .drop("_list", "_items", "_found")
     )
 
 
 def raw_calls(good: DataFrame) -> DataFrame:
     """Decoded records to ``(source_zip, ord, file_name, domain, topic, turns)``."""
-    return good.select(
+    return extract_turns(with_fields(good)).select(
         "source_zip",
         "ord",
         "file_name",
-        first_field("rec", DOMAIN_KEYS).alias("domain"),
-        first_field("rec", TOPIC_KEYS).alias("topic"),
-        extract_turns("rec").alias("turns"),
+        first_field(DOMAIN_KEYS).alias("domain"),
+        first_field(TOPIC_KEYS).alias("topic"),
+        "turns",
     )
 
 
 def raw_texts(good: DataFrame) -> DataFrame:
     """Decoded records to ``(source_zip, ord, file_name, domain, topic, text)``."""
-    return good.select(
+    return extract_plain_text(with_fields(good)).select(
         "source_zip",
         "ord",
         "file_name",
-        first_field("rec", DOMAIN_KEYS).alias("domain"),
-        first_field("rec", TOPIC_KEYS).alias("topic"),
-        extract_plain_text("rec").alias("text"),
+        first_field(DOMAIN_KEYS).alias("domain"),
+        first_field(TOPIC_KEYS).alias("topic"),
+        "text",
     )

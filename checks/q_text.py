@@ -277,11 +277,11 @@ def _(spark, sf):
 
 @query(
     "exact_bucket",
-    """SELECT doc_id FROM documents WHERE lang = 'de' OR source = 'de'
-       OR contains(source || '/' || lang || '-de/' || CAST(doc_id AS VARCHAR), 'de')""",
+    """SELECT doc_id FROM documents WHERE lang = 'de' OR doc_id % 7 = 0""",
 )
 def _(spark, sf):
-    name = F.concat("source", F.lit("/"), "lang", F.lit("-de/"), F.col("doc_id").cast("string"))
+    bucket = F.when(F.col("doc_id") % 7 == 0, F.lit("bucket-de/")).otherwise(F.lit("other/"))
+    name = F.concat(bucket, F.col("doc_id").cast("string"))
     return v.documents(spark, sf).where(
         rules.exact_bucket(F.concat(F.lit(" "), "lang", F.lit("\t")), "source", name, "de")
     ).select("doc_id")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from callsift.functions.rules import seed_match
 from callsift.functions.text import sentences
 from callsift.operators.calls import turns_by_call
+from callsift.sources.tables import read_parquet, spread_small
 
 DOMAIN_WORDS = ("that", "with", "from")
 UNWANTED_WORDS = ("worthless", "thth")
@@ -42,11 +43,11 @@ DOMAIN_TERMS = ("that", "ist", "pour")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_parquet(spark, f"{sf}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread_small(table(spark, sf, "documents"))
 
 
 def turns(spark: SparkSession, sf: str) -> DataFrame:

@@ -168,6 +168,38 @@ def portable(pattern: str) -> str:
     return "".join(out)
 
 
+def alternatives(pattern: str) -> list[str]:
+    """The parts of a pattern between its outermost ``|``."""
+    parts, depth, in_class, start, i = [], 0, False, 0, 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\":
+            i += 2
+            continue
+        if in_class:
+            in_class = ch != "]"
+        elif ch == "[":
+            in_class = True
+        elif ch in "()":
+            depth += 1 if ch == "(" else -1
+        elif ch == "|" and depth == 0:
+            parts.append(pattern[start:i])
+            start = i + 1
+        i += 1
+    return [*parts, pattern[start:]]
+
+
+def any_pattern(patterns: Iterable[str]) -> str:
+    """One pattern that matches where any of them does.
+
+    A word boundary that all of them start with is tested once per position, not per rule.
+    """
+    alts = [a for p in patterns for a in alternatives(p)]
+    if all(a.startswith(r"\b") for a in alts):
+        return portable(r"\b(?:" + "|".join(a[2:] for a in alts) + ")")
+    return "|".join(portable(a) for a in alts)
+
+
 def whole_word_pattern(phrases: Iterable[str]) -> str:
     """Pattern that finds any phrase as a whole word in lower-cased text."""
     return portable(r"\b(?:" + "|".join(phrases) + r")\b")

@@ -12,6 +12,7 @@ from callsift.functions import lexicons as lex
 from callsift.functions.rules import (
     Rules,
     customer_like,
+    matches_any,
     seed_match,
     strict_match,
     targets_needing_rows,
@@ -252,6 +253,7 @@ def topup_rows(
     found = sentences_of(calls) if sentences_of else explode_sentences(calls, text, 5, 300)
     hits = (
         found.withColumn("utterance", normalize_slots("utterance"))
+        .where(matches_any("utterance", rules))
         .withColumn("_hits", topup_match("utterance", rules, agent_openings))
         .where(F.size("_hits") > 0)
         .select(*ORDER, "utterance", F.explode("_hits").alias("intent_id"))
@@ -274,32 +276,26 @@ def append_and_cap(
     """Base rows, then added rows; first of each pair, ``max_rows`` per intent.
 
     ``row`` of the result orders the rows of an intent. With nothing to add the base stays as it
-    is, duplicates included.
+    is, duplicates included; this looks at ``adds``, so hand in a written or checkpointed table.
     """
-    cols = ["intent_id", "intent_name", "utterance", "_part", "row"]
+    kept = ["intent_id", "intent_name", "utterance"]
+    if adds.isEmpty():
+        return base.select(*kept, F.col("row").cast("long").alias("row"))
     both = (
         base.withColumn("_part", F.lit(0))
-        .select(*cols)
+        .select(*kept, "_part", "row")
         .unionByName(
             adds.withColumn("intent_name", F.col("intent_id"))
             .withColumn("_part", F.lit(1))
             .withColumnRenamed("rank", "row")
-            .select(*cols)
+            .select(*kept, "_part", "row")
         )
     )
     order = ["_part", "intent_id", "row"]
-    n_adds = adds.agg(F.count("*").alias("n"))
     capped = top_k_per_group(
-        dedup_pairs(both.where(n_adds.scalar() > 0), order),
-        ["intent_id"],
-        order,
-        max_rows,
-        rank="_place",
-    )
-    kept = ["intent_id", "intent_name", "utterance"]
-    return capped.select(*kept, F.col("_place").alias("row")).unionByName(
-        base.select(*kept, F.col("row").cast("long").alias("row")).where(n_adds.scalar() == 0)
+        dedup_pairs(both, order), ["intent_id"], order, max_rows, rank="_place"
     )
+    return capped.select(*kept, F.col("_place").alias("row"))
 
 
 def whitelist(df: DataFrame, intents: Iterable[str] = lex.ANSWERABLE_INTENTS) -> DataFrame:

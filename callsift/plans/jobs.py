@@ -23,6 +23,7 @@ from callsift.operators import terms as term_ops
 from callsift.operators import utterances as utt
 from callsift.operators.classify import train_intent_classifier
 from callsift.operators.ranking import first_rows, sample_n, stratified_split
+from callsift.session import checkpointed
 from callsift.sources.archives import scan_zip_json
 from callsift.sources.records import decode_json, raw_calls, raw_texts
 
@@ -231,8 +232,12 @@ def top_up(
     max_rows: int = lex.MAX_PER_INTENT,
     **options,
 ) -> DataFrame:
-    """Base plus the missing rows of the target intents, capped."""
-    adds = utt.topup_rows(base, calls, rules, targets, **options)
+    """Base plus the missing rows of the target intents, capped.
+
+    The added rows, fewer than the targets' sum, are found by one pass over the calls and written
+    to the checkpoint folder, as they decide whether the base is touched at all.
+    """
+    adds = checkpointed(utt.topup_rows(base, calls, rules, targets, **options))
     return utt.append_and_cap(base, adds, max_rows)
 
 

@@ -123,9 +123,8 @@ named AS (SELECT m.*, coalesce(n, m.intent_id) AS intent_name FROM mixed m LEFT
 
 
 def merged(spark, sf):
-    return jobs.merge_seeds(
-        v.base_utterances(spark, sf), v.utterances(spark, sf), v.STRICT
-    )
+    base = checkpointed(v.base_utterances(spark, sf))  # a written table between stages
+    return jobs.merge_seeds(base, v.utterances(spark, sf), v.STRICT)
 
 
 @query("merge_seeds", f"WITH {NAMED} SELECT intent_id, intent_name, utterance, rank FROM named")
@@ -180,12 +179,14 @@ def small_base(spark, sf):
     from callsift.functions.text import normalize_slots
 
     kept = v.utterances(spark, sf).where((F.col("ord") % 97 == 5) & (F.col("pos") < 30))
-    return kept.select(
+    rows = kept.select(
         "intent_id",
         F.concat(F.lit("name_"), "intent_id").alias("intent_name"),
         normalize_slots("utterance").alias("utterance"),
         F.struct("source_zip", "ord", "pos").alias("at"),
-    ).withColumn("row", F.row_number().over(Window.partitionBy("intent_id").orderBy("at")).cast("long"))
+    )
+    place = F.row_number().over(Window.partitionBy("intent_id").orderBy("at")).cast("long")
+    return checkpointed(rows.withColumn("row", place))  # a written table between stages
 
 
 def scanned(calls):
@@ -213,9 +214,9 @@ topped AS (SELECT *, row_number() OVER (PARTITION BY intent_id ORDER BY part, ro
   ORDER BY part, row) = 1) QUALIFY place <= 150)"""
 
 
-def topped(spark, sf):
+def topped(spark, sf, base=None):
     return jobs.top_up(
-        small_base(spark, sf),
+        base or small_base(spark, sf),
         v.utterances(spark, sf),
         v.TOPUPS,
         v.TARGETS,
@@ -236,7 +237,8 @@ def _(spark, sf):
         (SELECT count(*) FROM topped t WHERE t.intent_id = x.intent_id) AS after FROM {_TARGETS}""",
 )
 def _(spark, sf):
-    return rep.before_after(small_base(spark, sf), topped(spark, sf), v.TARGETS)
+    base = small_base(spark, sf)
+    return rep.before_after(base, topped(spark, sf, base), v.TARGETS)
 
 
 @query(

@@ -151,8 +151,11 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train/dev): in each class the quota's smallest seeded hashes go to dev.
 
-    A class is never ranked as a whole. Counts per (class, hash bucket) place the quota in one
-    bucket; rows in lower buckets are dev, in higher ones train, and only that bucket is ranked.
+    A class is never ranked as a whole. Its rows are spread over hash buckets; counts per (class,
+    bucket) say how many rows of the class come before a bucket, so a row's rank in its class is
+    that number plus its rank in the bucket. Rows are shuffled once, on (class, bucket), and a
+    class of any size is spread over 65,536 such keys.
+
     ``strict`` fails on a class of one row, which cannot be on both sides.
     """
     hashed = df.withColumn("_h", _hash_key(key, seed)).withColumn("_b", _bucket("_h"))
@@ -165,30 +168,20 @@ def stratified_split(
                 F.raise_error(F.concat(F.lit("class with one row: "), F.col(label))).cast("long"),
             ).otherwise(F.col("_quota")),
         )
-    per_bucket = hashed.groupBy(label, "_b").agg(F.count("*").alias("_c"))
     running = Window.partitionBy(label).orderBy("_b")
-    edge = (
-        per_bucket.withColumn("_cum", F.sum("_c").over(running))
-        .join(quota, label)
-        .withColumn("_before", F.col("_cum") - F.col("_c"))
-        .where((F.col("_before") <= F.col("_quota")) & (F.col("_quota") < F.col("_cum")))
-        .select(label, F.col("_b").alias("_edge"), (F.col("_quota") - F.col("_before")).alias("_left"))
-    )
-    placed = hashed.join(edge, label, "left")
-    at_edge = placed.where(F.col("_b") == F.col("_edge"))
-    elsewhere = placed.where((F.col("_b") != F.col("_edge")) | F.col("_edge").isNull())
-    ranked = at_edge.withColumn(
-        "_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", *key))
+    places = (
+        df.select(label, _bucket_of(key, seed).alias("_b"))
+        .groupBy(label, "_b")
+        .agg(F.count("*").alias("_c"))
+        .withColumn("_before", F.sum("_c").over(running) - F.col("_c"))
+        .join(quota.select(label, "_quota"), label)
+        .select(label, "_b", "_before", "_quota")
     )
-    out = [*[F.col(f"`{c}`") for c in df.columns]]
-    dev, train = F.lit("dev"), F.lit("train")
-    return elsewhere.select(
-        *out,
-        F.when(F.col("_edge").isNull() | (F.col("_b") < F.col("_edge")), dev)
-        .otherwise(train)
-        .alias("split"),
-    ).unionByName(
-        ranked.select(*out, F.when(F.col("_r") <= F.col("_left"), dev).otherwise(train).alias("split"))
+    in_bucket = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", *key))
+    is_dev = F.col("_before") + in_bucket <= F.col("_quota")
+    return hashed.join(places, [label, "_b"]).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.when(is_dev, F.lit("dev")).otherwise(F.lit("train")).alias("split"),
     )
 
 

@@ -158,26 +158,30 @@ def discover_intents(
 ) -> dict[str, DataFrame] | None:
     """Cluster the calls' utterances and name the clusters; None below 50 utterances.
 
-    One feature table is kept for all fits. It is rebuilt from its source if an executor is lost.
+    The corpus is written to the checkpoint folder, so that a lost executor costs one read of it
+    and not the work before it. The feature table is kept for all fits and given back at the end.
     """
-    corpus = utt.dedup_corpus(utt.candidate_sentences(refined, **(candidates or {})))
-    corpus = corpus.persist(StorageLevel.MEMORY_AND_DISK)
+    corpus = checkpointed(
+        utt.dedup_corpus(utt.candidate_sentences(refined, **(candidates or {})))
+    )
     if corpus.limit(MIN_CORPUS).count() < MIN_CORPUS:
-        corpus.unpersist()
         return None
     model = term_ops.fit_tfidf(corpus, "utterance", stops, min_df, max_df, max_features)
     features = model.transform(corpus).persist(StorageLevel.MEMORY_AND_DISK)
-    k, score, models = clu.choose_k(
-        features, utt.ORDER, k_min, k_max, n_init, seed, sample_size, max_iter
-    )
-    best = models.get(k) or clu.kmeans_best(features, clu.FALLBACK_K, n_init, seed, max_iter)
-    assigned = best.transform(features)
-    sizes = clu.cluster_sizes(assigned)
-    weights = term_ops.weights_long(assigned, model, ["cluster_id"])
-    top = term_ops.cluster_top_terms(weights, sizes, 12)
-    summary = clu.cluster_summary(assigned, top, utt.ORDER)
+    try:
+        k, score, models = clu.choose_k(
+            features, utt.ORDER, k_min, k_max, n_init, seed, sample_size, max_iter
+        )
+        best = models.get(k) or clu.kmeans_best(features, clu.FALLBACK_K, n_init, seed, max_iter)
+        assigned = best.transform(features)
+        top = term_ops.cluster_top_terms(assigned, model, 12)
+        summary = checkpointed(clu.cluster_summary(assigned, top, utt.ORDER))  # one row per cluster
+    finally:
+        features.unpersist()
     return {
-        "assigned": assigned.select(*utt.ORDER, "utterance", "cluster_id"),
+        "assigned": best.transform(model.transform(corpus)).select(
+            *utt.ORDER, "utterance", "cluster_id"
+        ),
         "clusters": summary,
         "suggestions": cat.suggest_names(summary),
         "choice": refined.sparkSession.createDataFrame(

@@ -144,9 +144,7 @@ def _(spark, sf):
     assigned = model.transform(turn_texts(spark, sf)).withColumn(
         "cluster_id", (F.col("conv_id") % 7).cast("int")
     )
-    top = ops.cluster_top_terms(
-        ops.weights_long(assigned, model, ["cluster_id"]), clu.cluster_sizes(assigned)
-    )
+    top = ops.cluster_top_terms(assigned, model)
     return top.withColumn("mean_weight", F.round("mean_weight", 6))
 
 

@@ -108,9 +108,10 @@ def is_question(c: Column | str) -> Column:
 
 
 def min_words(c: Column | str, n: int) -> Column:
-    """At least ``n`` white-space separated tokens."""
-    text = strip(c)
-    return (F.length(text) > 0) & (F.size(F.split(text, SPACE + "+")) >= n)
+    """At least ``n`` white-space separated tokens: a search, so the text is not split."""
+    other = "[^" + SPACE[1:]
+    gap = SPACE + "+"
+    return F.rlike(_col(c), F.lit(gap.join([other + "+"] * (n - 1) + [other])))
 
 
 def sentences(c: Column | str, lo: int, hi: int) -> Column:

@@ -1,8 +1,8 @@
 """First-of-group, top-k, sampling and split operators.
 
 Each one is exact and none sends a whole hot group to one task: rows are reduced per map task
-first (partial aggregation, or the group limit Spark plans in front of a ``row_number() <= k``
-shuffle) and, where k rows per map task would still be many, once more per salt.
+first, by the group limit Spark plans in front of the shuffle of a ``row_number() <= k``, and,
+where k rows per map task would still be many, once more per salt.
 """
 
 from __future__ import annotations
@@ -15,19 +15,24 @@ from pyspark.sql.window import Window
 
 from callsift.functions.text import _col
 
-SALTS = 32
-HASH_DIGITS = 4  # sha-256 hex digits that form a bucket: 65,536 buckets
+SALTS = 256
+HASH_DIGITS = 4  # leading sha-256 hex digits that name a bucket: 65,536 buckets, in hash order
+
+
+def _task_salt(salts: int) -> Column:
+    """A number that is the same for all rows of a map task.
+
+    Ranking inside (group, task salt) still cuts a group to k rows per map task before the
+    shuffle, and the shuffle then spreads the group over ``salts`` tasks. A top-k of top-ks does
+    not depend on how rows are salted.
+    """
+    return F.pmod(F.spark_partition_id(), F.lit(salts))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row of each key by ``order`` (unique). One shuffle, one row per key and map task."""
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(
-        F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[F.col(f"`{c}`") for c in order])
-    )
-    out = df.groupBy(*keys).agg(best.alias("_best"))
-    picked = [F.col(f"`{c}`") if c in keys else F.col(f"_best.`{c}`").alias(c) for c in df.columns]
-    return out.select(*picked)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
 def top_k_per_group(
@@ -40,17 +45,16 @@ def top_k_per_group(
 ) -> DataFrame:
     """First ``k`` rows of each group; ``order`` must be a total order.
 
-    The first pass ranks inside (group, salt), so that a group holding a large share of the rows
-    is worked on by ``salts`` tasks; the second pass ranks the at most ``salts * k`` survivors.
+    A group is cut to k rows per map task, then per salt, then as a whole. The last task of a
+    group sees at most ``salts * k`` rows, whatever the size of the group.
     """
     cols = [_col(o) for o in order]
     name = rank or "_rank"
     small = df
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _plain(df, order)]), F.lit(salts))
         inner = Window.partitionBy(*keys, "_salt").orderBy(*cols)
         small = (
-            df.withColumn("_salt", salt)
+            df.withColumn("_salt", _task_salt(salts))
             .withColumn("_pre", F.row_number().over(inner))
             .where(F.col("_pre") <= k)
             .drop("_salt", "_pre")
@@ -61,22 +65,16 @@ def top_k_per_group(
     return out if rank else out.drop(name)
 
 
-def _plain(df: DataFrame, order: Sequence[Column | str]) -> list[str]:
-    named = [o for o in order if isinstance(o, str)]
-    return named or [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
-
-
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """First ``n`` rows by ``order`` (unique column names).
 
     Only the narrow order columns are ranked; the at most ``n`` winners are broadcast back to pick
     the wide rows where they lie, so wide rows never meet in one task before they are few.
     """
-    keys = df.select(*order)
-    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
     inner = Window.partitionBy("_salt").orderBy(*order)
     winners = (
-        keys.withColumn("_salt", salt)
+        df.select(*order)
+        .withColumn("_salt", _task_salt(SALTS))
         .withColumn("_pre", F.row_number().over(inner))
         .where(F.col("_pre") <= n)
         .select(*order)
@@ -91,7 +89,7 @@ def _hash_key(key: Sequence[str], seed: int) -> Column:
 
 
 def _bucket(hash_col: str) -> Column:
-    return F.conv(F.substring(hash_col, 1, HASH_DIGITS), 16, 10).cast("long")
+    return F.substring(hash_col, 1, HASH_DIGITS)
 
 
 def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
@@ -115,7 +113,7 @@ def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataF
 
 
 def _bucket_of(key: Sequence[str], seed: int) -> Column:
-    return F.conv(F.substring(_hash_key(key, seed), 1, HASH_DIGITS), 16, 10).cast("long")
+    return F.substring(_hash_key(key, seed), 1, HASH_DIGITS)
 
 
 def dev_quota(df: DataFrame, label: str, share: float) -> DataFrame:

@@ -29,6 +29,7 @@ from callsift.functions.text import (
     truncate,
 )
 from callsift.operators.ranking import first_per_key, shortest_sentences, top_k_per_group
+from callsift.operators.shaping import computed_once
 
 ORDER = ("source_zip", "ord", "pos")
 
@@ -98,7 +99,7 @@ def clean_seeds(
 ) -> DataFrame:
     """Normalize slots, keep three or more words that pass the intent's strict pattern, dedup."""
     kept = (
-        seeds.withColumn("utterance", normalize_slots("utterance"))
+        computed_once(seeds, {"utterance": normalize_slots("utterance")})
         .where(F.coalesce(F.col("intent_id"), F.lit("")) != "")
         .where(min_words("utterance", 3))
         .where(strict_match("intent_id", "utterance", strict_rules))
@@ -252,7 +253,7 @@ def topup_rows(
     text = F.coalesce(first_nonempty("customer_text", "full_text"), F.lit(""))
     found = sentences_of(calls) if sentences_of else explode_sentences(calls, text, 5, 300)
     hits = (
-        found.withColumn("utterance", normalize_slots("utterance"))
+        computed_once(found, {"utterance": normalize_slots("utterance")})
         .where(matches_any("utterance", rules))
         .withColumn("_hits", topup_match("utterance", rules, agent_openings))
         .where(F.size("_hits") > 0)

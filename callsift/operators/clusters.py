@@ -45,12 +45,14 @@ def silhouette(
     col: str = "features",
     sample_size: int = 5000,
     seed: int = 42,
+    sampled: bool = False,
 ) -> DataFrame:
     """Rows ``(key, label, silhouette)`` of an exact Euclidean silhouette over a sample.
 
     The sample, at most ``sample_size`` rows, is what the measure is defined on. Its non-zero
     entries are broadcast; each task sums the distances of its rows to every cluster and emits one
-    row per input row, so no pair of rows leaves a task.
+    row per input row, so no pair of rows leaves a task. ``sampled`` says that the rows are already
+    such a sample.
     """
     if isinstance(labelled.schema[col].dataType, VectorUDT):
         vec = F.unwrap_udt(col)
@@ -59,9 +61,10 @@ def silhouette(
     else:
         values = F.col(col).cast("array<double>")
         parts = [F.transform(values, lambda _, i: i).alias("_i"), values.alias("_v")]
-    sample = sample_n(labelled.select(*key, label, col), key, sample_size, seed).select(
-        *key, F.col(label).cast("long").alias("_label"), *parts
-    )
+    picked = labelled.select(*key, label, col)
+    if not sampled:
+        picked = sample_n(picked, key, sample_size, seed)
+    sample = picked.select(*key, F.col(label).cast("long").alias("_label"), *parts)
     rows = sample.select("_label", "_i", "_v").collect()  # at most sample_size rows
     names, codes = np.unique(np.array([r["_label"] for r in rows], dtype=np.int64), return_inverse=True)
     lengths = [len(r["_i"]) for r in rows]
@@ -124,7 +127,7 @@ def choose_k(
             labelled = model.transform(sample)
             if labelled.select("cluster_id").distinct().limit(2).count() < 2:
                 continue
-            scored = silhouette(labelled, key, sample_size=sample_size, seed=seed)
+            scored = silhouette(labelled, key, sampled=True)
             score = scored.agg(F.avg("silhouette").alias("s")).first()["s"]
             if score > best_score:
                 best_k, best_score, models = k, score, {k: model}

@@ -32,6 +32,7 @@ from callsift.operators.ranking import first_per_key, shortest_sentences, top_k_
 from callsift.operators.shaping import computed_once
 
 ORDER = ("source_zip", "ord", "pos")
+ANTI_SALTS = 16
 
 
 def explode_sentences(calls: DataFrame, text: Column, lo: int, hi: int) -> DataFrame:
@@ -225,15 +226,21 @@ def not_in_base(
     """Drop candidates whose intent and case-folded text are in ``base``.
 
     ``base_is_bounded`` says that the caller has a bound on the base rows, so they may be broadcast.
+    Otherwise the distinct base keys are repeated per salt and the candidates salted by map task,
+    so that the copies of one candidate do not meet in one task.
     """
     present = base.select("intent_id", strip(F.lower("utterance")).alias("_low")).distinct()
+    keyed = candidates.withColumn("_low", F.lower("utterance"))
+    on = ["intent_id", "_low"]
     if base_is_bounded:
         present = F.broadcast(present)
-    return (
-        candidates.withColumn("_low", F.lower("utterance"))
-        .join(present, ["intent_id", "_low"], "left_anti")
-        .drop("_low")
-    )
+    else:
+        every = F.sequence(F.lit(0), F.lit(ANTI_SALTS - 1))
+        present = present.withColumn("_salt", F.explode(every))
+        keyed = keyed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(ANTI_SALTS)))
+        on = [*on, "_salt"]
+    kept = keyed.join(present, on, "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in candidates.columns])
 
 
 def topup_rows(

@@ -193,3 +193,19 @@ def test_candidates_prefer_customer_text(spark):
     assert got[1] == ["Short one.", "I pay."]
     assert got[2] == ["Is it open?"]
     assert ut.dedup_corpus(ut.candidate_sentences(df)).where(F.col("utterance") == "I pay.").count() == 0
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_not_in_base_with_hot_copies(spark, bounded):
+    rows = [("a", "Same line" if n % 3 else f"line {n}", n) for n in range(300)] + [("b", "same line", 999)]
+    df = spark.createDataFrame(rows, "intent_id string, utterance string, row long").repartition(8)
+    base = spark.createDataFrame([("a", " same LINE"), ("a", "line 3"), ("a", "LINE 3")], "intent_id string, utterance string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ut.not_in_base(df, base, base_is_bounded=bounded)
+        assert got.columns == df.columns
+        want = {n for i, u, n in rows if (i, u.lower()) not in {("a", "same line"), ("a", "line 3")}}
+        kept = [r.row for r in got.collect()]
+        assert len(kept) == len(want) and set(kept) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 
 from callsift.operators.terms import TfidfModel, fit_tfidf
+from callsift.session import written
 
 
 @dataclass(frozen=True)
@@ -26,44 +26,36 @@ class IntentClassifier:
         return named.transform(scored).drop(*extra)
 
 
-ROWS_PER_TASK = 20_000
-
-
 def train_intent_classifier(
     train: DataFrame,
     text: str = "utterance",
     label: str = "intent_id",
     min_df: int = 2,
     max_df: float = 0.9,
-    max_iter: int = 50,
+    max_iter: int = 1000,
     reg: float | None = None,
     parallelism: int = 4,
 ) -> IntentClassifier:
     """Fit on rows that a split has made.
 
-    The rows are kept while the classes are fitted, in no more partitions than their number asks
-    for, as each step of each class is one pass over them. ``reg`` defaults to 1 / rows, the
+    The rows are written to the shared folder, as each step of each class is one pass over them;
+    every fit stops at its tolerance, which it reaches long before ``max_iter``. ``reg`` defaults to 1 / rows, the
     strength of a unit penalty on the summed loss; features are unit rows and not rescaled.
     """
-    train = train.select(text, label).persist(StorageLevel.MEMORY_AND_DISK)
+    train = written(train.select(text, label))
     n = train.count()
     tfidf = fit_tfidf(train, text, min_df=min_df, max_df=max_df)
     labels = StringIndexer(
         inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"
     ).fit(train)
-    rows = labels.transform(tfidf.transform(train, "_features")).select("_features", "_label")
-    rows = rows.coalesce(n // ROWS_PER_TASK + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        svm = OneVsRest(
-            classifier=LinearSVC(
-                maxIter=max_iter, regParam=1.0 / n if reg is None else reg, standardization=False
-            ),
-            featuresCol="_features",
-            labelCol="_label",
-            predictionCol="_predicted",
-            parallelism=parallelism,
-        ).fit(rows)
-    finally:
-        rows.unpersist()
-        train.unpersist()
+    rows = written(labels.transform(tfidf.transform(train, "_features")).select("_features", "_label"))
+    svm = OneVsRest(
+        classifier=LinearSVC(
+            maxIter=max_iter, regParam=1.0 / n if reg is None else reg, standardization=False
+        ),
+        featuresCol="_features",
+        labelCol="_label",
+        predictionCol="_predicted",
+        parallelism=parallelism,
+    ).fit(rows)
     return IntentClassifier(tfidf, labels, svm)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsift.operators.ranking import sample_n, top_k_per_group
+from callsift.session import written
 
 FALLBACK_K = 18
 
@@ -22,7 +23,7 @@ def kmeans_best(
     k: int,
     n_init: int = 10,
     seed: int = 42,
-    max_iter: int = 20,
+    max_iter: int = 300,
     col: str = "features",
 ) -> KMeansModel:
     """Euclidean k-means, the cheapest of ``n_init`` starts. Persist ``features`` before."""
@@ -112,27 +113,24 @@ def choose_k(
     n_init: int = 10,
     seed: int = 42,
     sample_size: int = 5000,
-    max_iter: int = 20,
+    max_iter: int = 300,
 ) -> tuple[int | None, float, dict[int, KMeansModel]]:
     """k with the highest mean silhouette (smaller k on ties); one-cluster results are skipped.
 
     Only the silhouette sample is labelled per k. The best model is returned so that it need not
     be fitted again.
     """
-    sample = sample_n(features.select(*key, "features"), key, sample_size, seed).persist()
+    sample = written(sample_n(features.select(*key, "features"), key, sample_size, seed))
     best_k, best_score, models = None, -1.0, {}
-    try:
-        for k in range(k_min, k_max + 1):
-            model = kmeans_best(features, k, n_init, seed, max_iter)
-            labelled = model.transform(sample)
-            if labelled.select("cluster_id").distinct().limit(2).count() < 2:
-                continue
-            scored = silhouette(labelled, key, sampled=True)
-            score = scored.agg(F.avg("silhouette").alias("s")).first()["s"]
-            if score > best_score:
-                best_k, best_score, models = k, score, {k: model}
-    finally:
-        sample.unpersist()
+    for k in range(k_min, k_max + 1):
+        model = kmeans_best(features, k, n_init, seed, max_iter)
+        labelled = model.transform(sample)
+        if labelled.select("cluster_id").distinct().limit(2).count() < 2:
+            continue
+        scored = silhouette(labelled, key, sampled=True)
+        score = scored.agg(F.avg("silhouette").alias("s")).first()["s"]
+        if score > best_score:
+            best_k, best_score, models = k, score, {k: model}
     return best_k, best_score, models
 
 

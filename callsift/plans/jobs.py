@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +22,7 @@ from callsift.operators import terms as term_ops
 from callsift.operators import utterances as utt
 from callsift.operators.classify import train_intent_classifier
 from callsift.operators.ranking import first_rows, sample_n, stratified_split
-from callsift.session import checkpointed
+from callsift.session import written
 from callsift.sources.archives import scan_zip_json
 from callsift.sources.records import decode_json, raw_calls, raw_texts
 
@@ -147,7 +146,7 @@ def discover_intents(
     k_min: int = 10,
     k_max: int = 28,
     n_init: int = 10,
-    max_iter: int = 20,
+    max_iter: int = 300,
     min_df: int = 5,
     max_df: float = 0.6,
     max_features: int = 50_000,
@@ -158,30 +157,25 @@ def discover_intents(
 ) -> dict[str, DataFrame] | None:
     """Cluster the calls' utterances and name the clusters; None below 50 utterances.
 
-    The corpus is written to the checkpoint folder, so that a lost executor costs one read of it
-    and not the work before it. The feature table is kept for all fits and given back at the end.
+    The corpus and its features are written to the shared folder: every fit reads them from there,
+    and a lost executor costs one read and not the work before it.
     """
-    corpus = checkpointed(
+    corpus = written(
         utt.dedup_corpus(utt.candidate_sentences(refined, **(candidates or {})))
     )
     if corpus.limit(MIN_CORPUS).count() < MIN_CORPUS:
         return None
     model = term_ops.fit_tfidf(corpus, "utterance", stops, min_df, max_df, max_features)
-    features = model.transform(corpus).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        k, score, models = clu.choose_k(
-            features, utt.ORDER, k_min, k_max, n_init, seed, sample_size, max_iter
-        )
-        best = models.get(k) or clu.kmeans_best(features, clu.FALLBACK_K, n_init, seed, max_iter)
-        assigned = best.transform(features)
-        top = term_ops.cluster_top_terms(assigned, model, 12)
-        summary = checkpointed(clu.cluster_summary(assigned, top, utt.ORDER))  # one row per cluster
-    finally:
-        features.unpersist()
+    features = written(model.transform(corpus))
+    k, score, models = clu.choose_k(
+        features, utt.ORDER, k_min, k_max, n_init, seed, sample_size, max_iter
+    )
+    best = models.get(k) or clu.kmeans_best(features, clu.FALLBACK_K, n_init, seed, max_iter)
+    assigned = best.transform(features)
+    top = term_ops.cluster_top_terms(assigned, model, 12)
+    summary = written(clu.cluster_summary(assigned, top, utt.ORDER))  # one row per cluster
     return {
-        "assigned": best.transform(model.transform(corpus)).select(
-            *utt.ORDER, "utterance", "cluster_id"
-        ),
+        "assigned": assigned.select(*utt.ORDER, "utterance", "cluster_id"),
         "clusters": summary,
         "suggestions": cat.suggest_names(summary),
         "choice": refined.sparkSession.createDataFrame(
@@ -239,9 +233,9 @@ def top_up(
     """Base plus the missing rows of the target intents, capped.
 
     The added rows, fewer than the targets' sum, are found by one pass over the calls and written
-    to the checkpoint folder, as they decide whether the base is touched at all.
+    to the shared folder, as they decide whether the base is touched at all.
     """
-    adds = checkpointed(utt.topup_rows(base, calls, rules, targets, **options))
+    adds = written(utt.topup_rows(base, calls, rules, targets, **options))
     return utt.append_and_cap(base, adds, max_rows)
 
 

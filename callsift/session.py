@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temp folder only when unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    return where or tempfile.mkdtemp(prefix="callsift-")
+    """The folder that driver and executors share for intermediate tables.
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
+    It is the one the cluster names in ``spark.checkpoint.dir``; where that is unset, the session's
+    checkpoint folder; else a folder below the warehouse.
+    """
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return where or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_callsift"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -25,7 +22,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` as parquet into the shared folder and read it back: a cut of the lineage that
+    survives lost executors and still prunes columns."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

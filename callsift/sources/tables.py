@@ -46,9 +46,3 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A file that holds one JSON array of objects, as small hand-kept files do."""
     return spark.read.schema(schema).json(path, multiLine=True)
 
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal out an input of fewer splits than cores; an input of many splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

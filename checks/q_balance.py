@@ -8,7 +8,7 @@ from callsift.operators import reports as rep
 from callsift.operators import utterances as ops
 from callsift.operators.ranking import stratified_split
 from callsift.plans import jobs
-from callsift.session import checkpointed
+from callsift.session import written
 from checks import sql as q
 from checks import views as v
 from checks.q_text import AGENT_SQL, STRICT_SQL, TOPUP_SQL
@@ -123,7 +123,7 @@ named AS (SELECT m.*, coalesce(n, m.intent_id) AS intent_name FROM mixed m LEFT
 
 
 def merged(spark, sf):
-    base = checkpointed(v.base_utterances(spark, sf))  # a written table between stages
+    base = written(v.base_utterances(spark, sf))  # a written table between stages
     return jobs.merge_seeds(base, v.utterances(spark, sf), v.STRICT)
 
 
@@ -186,7 +186,7 @@ def small_base(spark, sf):
         F.struct("source_zip", "ord", "pos").alias("at"),
     )
     place = F.row_number().over(Window.partitionBy("intent_id").orderBy("at")).cast("long")
-    return checkpointed(rows.withColumn("row", place))  # a written table between stages
+    return written(rows.withColumn("row", place))  # a written table between stages
 
 
 def scanned(calls):
@@ -356,7 +356,7 @@ def _(spark, sf):
 
 def classified(spark, sf):
     """Splits are written once, as between the stages of a real run."""
-    return jobs.baseline_classifier(checkpointed(eval_sets(spark, sf)), max_iter=20)
+    return jobs.baseline_classifier(written(eval_sets(spark, sf)), max_iter=20)
 
 
 @query("baseline_classifier")

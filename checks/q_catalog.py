@@ -12,7 +12,7 @@ from callsift.functions.text import tokens
 from callsift.plans import jobs
 from callsift.sources import sinks, tables
 from callsift.sources.rules import overrides_table
-from callsift.session import checkpointed, fresh_path
+from callsift.session import written, fresh_path
 from checks import sql as q
 from checks import views as v
 from checks.q_terms import toks
@@ -91,7 +91,7 @@ def clusters(spark, sf):
     summary = clu.cluster_summary(rows, top, ["source_zip", "ord", "pos"])
     none = F.array().cast("array<string>")
     shown = F.when(F.col("cluster_id") == 17, none).otherwise(F.col("examples"))
-    return checkpointed(summary.withColumn("examples", shown))  # one row per cluster
+    return written(summary.withColumn("examples", shown))  # one row per cluster
 
 
 def suggestions(cl):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from callsift.functions.rules import seed_match
 from callsift.functions.text import sentences
 from callsift.operators.calls import turns_by_call
-from callsift.sources.tables import read_parquet, spread_small
+from callsift.sources.tables import read_parquet
 
 DOMAIN_WORDS = ("that", "with", "from")
 UNWANTED_WORDS = ("worthless", "thth")
@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_small(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def turns(spark: SparkSession, sf: str) -> DataFrame:

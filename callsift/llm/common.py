@@ -55,3 +55,37 @@ def labelled_sample(
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # bounded by per_class
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     return texts.join(chosen, "doc_id").select("doc_id", "text", "y")
+
+
+def prior_log_odds(labels: DataFrame, label: str) -> float:
+    """Log-odds of label 1 among all labels a fit may read, each class counted once more than seen."""
+    row = (
+        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+        .agg(F.sum(label).alias("ones"), F.count("*").alias("n"))
+        .first()
+    )
+    ones = row["ones"] or 0
+    return float(np.log((ones + 1) / (row["n"] - ones + 1)))
+
+
+def sigmoid(x: np.ndarray | float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50
+) -> tuple[np.ndarray, float]:
+    """Weights and bias by Newton's method; both classes weigh alike, the penalty spares the bias."""
+    a = np.column_stack([x, np.ones(len(x))])
+    weight = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1))
+    ridge = np.diag([penalty] * x.shape[1] + [1e-9])
+    theta = np.zeros(a.shape[1])
+    for _ in range(steps):
+        p = sigmoid(a @ theta)
+        slope = a.T @ (weight * (p - y)) + ridge @ theta
+        curve = (a * (weight * p * (1 - p))[:, None]).T @ a + ridge
+        step = np.linalg.solve(curve, slope)
+        theta -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return theta[:-1], float(theta[-1])

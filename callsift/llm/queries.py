@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from callsift.llm import quality_rules
-from callsift.llm.common import table
+from callsift.llm import quality_net, quality_rules
+from callsift.llm.common import held_out, table
 
 
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,7 +19,23 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _scored(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = quality_net.fit(docs, table(spark, sf, "labels"))
+    return _scored(quality_net.with_score(docs.select("doc_id", "text"), model), 0.7)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import quality_net, quality_rules
+from callsift.llm import packing, quality_net, quality_rules
 from callsift.llm.common import held_out, table
 
 
@@ -19,6 +19,16 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def _scored(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -35,6 +45,7 @@ def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_packing": (op1_packing, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
 }

@@ -187,30 +187,13 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.maximum(left + right, 0) / 2), 0.0)
 
 
-def judge(
-    docs: DataFrame,
+def with_distances(
+    profiled: DataFrame,
+    references: Mapping[str, tuple[np.ndarray, np.ndarray]],
     common: Mapping[str, Sequence[str]] = COMMON_WORDS,
-    limits: Limits = Limits(),
-    text: str = "text",
-    lang: str = "lang",
 ) -> DataFrame:
-    """Counts, distances and the verdict of every row, beside the row's other columns but the text.
-
-    Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    char_distance, word_distance, nearest_lang, kept``; columns of these names are replaced.
-    ``lang`` only tells which documents make which reference: a text is held against the nearest
-    one, so a null or wrong language changes no verdict. A null or empty text has no words and
-    fails the base rules. Repeated rows are judged alike. Without any reference both distances are
-    0. The counts are written once to the shared folder, as the references need them all first.
-    """
-    made = (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "char_distance", "word_distance", "nearest_lang", "kept", "_p",
-    )
-    profiled = profile(docs, common, text)
-    kept_columns = [c for c in docs.columns if c != text and c not in made]
-    profiled = written(profiled.select(*kept_columns, "_p"), "profile")
-    references = fit_references(profiled, common, limits, lang)
+    """Profiled rows with a struct ``_d``: both distances to the nearest reference, and its language.
+    The references are a few hundred numbers."""
     names = sorted(common)
     ends = np.cumsum([0, *(len(common[n]) + 1 for n in names)])
 
@@ -232,17 +215,63 @@ def judge(
             {"char_distance": best[:, 0], "word_distance": best[:, 1], "nearest_lang": lang_of}
         )
 
-    p = F.col("_p")
+    return profiled.withColumn("_d", distances(F.col("_p")["chars"], F.col("_p")["common"]))
+
+
+def passes(limits: Limits):
+    """The verdict on rows of ``with_distances``."""
+    p, d = F.col("_p"), F.col("_d")
     n_chars = F.aggregate(p["chars"], F.lit(0).cast("long"), lambda a, x: a + x)
-    judged = profiled.withColumn("_d", distances(p["chars"], p["common"]))
-    d = F.col("_d")
     far = ((n_chars >= limits.min_chars) & (d["char_distance"] > limits.max_char_distance)) | (
         (p["n_words"] >= limits.min_words) & (d["word_distance"] > limits.max_word_distance)
     )
-    return judged.select(
+    return ~base_failed(limits) & ~far
+
+
+def keep(
+    docs: DataFrame,
+    common: Mapping[str, Sequence[str]] = COMMON_WORDS,
+    limits: Limits = Limits(),
+    text: str = "text",
+    lang: str = "lang",
+) -> DataFrame:
+    """The rows of ``docs`` that pass, as they are: one pass for the references, one for the verdicts,
+    and no text is shuffled."""
+    profiled = profile(docs, common, text)
+    references = fit_references(profiled, common, limits, lang)
+    return with_distances(profiled, references, common).where(passes(limits)).select(docs.columns)
+
+
+def judge(
+    docs: DataFrame,
+    common: Mapping[str, Sequence[str]] = COMMON_WORDS,
+    limits: Limits = Limits(),
+    text: str = "text",
+    lang: str = "lang",
+) -> DataFrame:
+    """Counts, distances and the verdict of every row, beside the row's other columns but the text.
+
+    Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    char_distance, word_distance, nearest_lang, kept``; columns of these names are replaced.
+    ``lang`` only tells which documents make which reference: a text is held against the nearest
+    one, so a null or wrong language changes no verdict. A null or empty text has no words and
+    fails the base rules. Repeated rows are judged alike. Without any reference both distances are
+    0. The counts are written once to the shared folder, as the references need them all first.
+    """
+    made = (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "char_distance", "word_distance", "nearest_lang", "kept", "_p",
+    )
+    profiled = profile(docs, common, text)
+    kept_columns = [c for c in docs.columns if c != text and c not in made]
+    profiled = written(profiled.select(*kept_columns, "_p"), "profile")
+    references = fit_references(profiled, common, limits, lang)
+    p = F.col("_p")
+    d = F.col("_d")
+    return with_distances(profiled, references, common).select(
         *kept_columns,
         *(p[c].alias(c) for c in made[:5]),
         base_failed(limits).alias("base_failed"),
         *(d[c].alias(c) for c in ("char_distance", "word_distance", "nearest_lang")),
-        (~base_failed(limits) & ~far).alias("kept"),
+        passes(limits).alias("kept"),
     )

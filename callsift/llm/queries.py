@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import packing, quality_net, quality_rules
+from callsift.llm import near_dups, packing, quality_net, quality_rules
 from callsift.llm.common import held_out, table
 
 
@@ -44,10 +44,15 @@ def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(quality_net.with_score(docs.select("doc_id", "text"), model), 0.7)
 
 
+def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf, "documents"), near_dups.Shape(words=2))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
+    "op10_near_dups": (op10_near_dups, None),
 }
 
 

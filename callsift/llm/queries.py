@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import near_dups, packing, quality_net, quality_rules
+from callsift.llm import near_dups, packing, quality_net, quality_rules, toxicity
 from callsift.llm.common import held_out, table
 
 
@@ -38,6 +38,12 @@ def _scored(scored: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return _scored(toxicity.with_score(docs.select("doc_id", "text"), model), 0.3)
+
+
 def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality_net.fit(docs, table(spark, sf, "labels"))
@@ -50,6 +56,7 @@ def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
+    "op2_toxicity": (op2_toxicity, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op10_near_dups": (op10_near_dups, None),

@@ -18,7 +18,6 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 END_ID = 2
-CACHED = 400_000  # entries a worker keeps before it starts anew
+CACHED = 700_000  # entries of a kind that a worker keeps before it starts anew
 LONGEST_CACHED = 64
 SLICE = 4 << 20  # characters encoded at a time
 
@@ -36,13 +35,15 @@ SLICE = 4 << 20  # characters encoded at a time
 @dataclass(frozen=True)
 class Costs:
     """In tokens of padding. ``block`` tokens are cut at a time; what is left of a block's last two
-    sequences goes to the next block."""
+    sequences goes to the next block. Powers of two below ``shortest`` count as padded: so short a
+    sequence is not worth its opening."""
 
     size: int = 4096
     sentence: float = 4.0
     inside: float = 24.0
     open_cost: float = 16.0
     grid: int = 256
+    shortest: int = 64
     block: int = 1 << 18
 
 
@@ -51,8 +52,8 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins what it parts, so a text's ids are the ids of
     its chunks between ASCII white space. Chunks of Latin letters are cut into words by the
-    tokenizer's own pattern, and new words are encoded together; any other chunk goes through the
-    tokenizer as it is.
+    tokenizer's own pattern, and new words are encoded together; any other chunk, and one that may
+    hold a special token (``<|...``), goes through the tokenizer as it is.
     """
 
     PLAIN = regex.compile("[\x21-\x7e\xa1-įı-ſ]+")
@@ -77,58 +78,65 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.ends_word[i] = token.endswith("</w>")
             self.ends_sentence[i] = token.endswith((".</w>", "!</w>", "?</w>"))
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.of_word: dict[str, tuple[int, ...]] = {}
-        self.of_chunk: dict[str, tuple[int, ...]] = {"": ()}
-
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
-        cut: dict[str, list[str]] = {}
-        out: dict[str, tuple[int, ...]] = {}
-        for c in chunks:
-            if self.PLAIN.fullmatch(c) and not any(s in c for s in self.special):
-                cut[c] = self.WORD.findall(c.lower())
-            else:
-                out[c] = tuple(self.whole.encode(c, add_special_tokens=False).ids)
-        new = sorted({w for ws in cut.values() for w in ws if w not in self.of_word})
-        if len(self.of_word) + len(new) > CACHED:
-            self.of_word.clear()
-            new = sorted({w for ws in cut.values() for w in ws})
+        self.of_word: dict[str, bytes] = {}
+        self.of_chunk: dict[str, bytes] = {"": b""}
+
+    def _words(self, chunk: str) -> list[str] | None:
+        """The words of a chunk as the tokenizer parts it; None if it has to see the chunk itself."""
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk[-1] in ".,;:" and chunk[:-1].isalpha():
+                return [chunk[:-1].lower(), chunk[-1]]
+        if "<|" in chunk or not self.PLAIN.fullmatch(chunk):
+            return None
+        return self.WORD.findall(chunk.lower())
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk as little-endian 32-bit numbers."""
+        cut = [self._words(c) for c in chunks]
+        known = self.of_word
+        if len(known) > CACHED:
+            known.clear()
+        new = list({w for ws in cut if ws for w in ws if w not in known})
         for at in range(0, len(new), 5000):
             some = new[at : at + 5000]
-            ids = self.words.encode(" ".join(some), add_special_tokens=False).ids
+            ids = np.array(self.words.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             assert len(ends) == len(some), "a word's last token alone ends a word"
-            first = 0
-            for w, end in zip(some, ends.tolist(), strict=True):
-                self.of_word[w] = tuple(ids[first:end])
+            raw, first = ids.tobytes(), 0
+            for w, end in zip(some, (4 * ends).tolist(), strict=True):
+                known[w] = raw[first:end]
                 first = end
-        for c, ws in cut.items():
-            out[c] = tuple(chain.from_iterable(self.of_word[w] for w in ws))
+        out = []
+        for c, ws in zip(chunks, cut, strict=True):
+            if ws is None:
+                ids = self.whole.encode(c, add_special_tokens=False).ids
+                out.append(np.array(ids, "<u4").tobytes())
+            else:
+                out.append(b"".join([known[w] for w in ws]))
         return out
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and each text's number of them."""
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
         parts = pc.ascii_split_whitespace(texts)
         flat = parts.flatten().dictionary_encode()
         chunks = flat.dictionary.to_pylist()
-        known = self.of_chunk
-        learned = self._learn([c for c in chunks if c not in known])
-        ids_of = [known.get(c) if c in known else learned[c] for c in chunks]
-        if len(known) + len(learned) > CACHED:
-            known.clear()
-            known[""] = ()
-        known.update((c, i) for c, i in learned.items() if len(c) <= LONGEST_CACHED)
-        sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-        pool = np.fromiter(chain.from_iterable(ids_of), np.uint32, int(sizes.sum()))
-        first = np.cumsum(sizes) - sizes
+        if len(self.of_chunk) > CACHED:
+            self.of_chunk.clear()
+            self.of_chunk[""] = b""
+        pool = list(map(self.of_chunk.get, chunks))
+        unknown = [k for k, ids in enumerate(pool) if ids is None]
+        for k, ids in zip(unknown, self._learn([chunks[k] for k in unknown]), strict=True):
+            pool[k] = ids
+            if len(chunks[k]) <= LONGEST_CACHED:
+                self.of_chunk[chunks[k]] = ids
         at = flat.indices.to_numpy(zero_copy_only=False)
-        each = sizes[at]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(first[at] - (ends - each), each) + np.arange(total)
-        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        bounds = np.concatenate([[0], ends])[offsets]
-        return pool[where], np.diff(bounds)
+        offsets = (parts.offsets.to_numpy() - parts.offsets[0].as_py()).tolist()
+        return [
+            np.frombuffer(b"".join(map(pool.__getitem__, at[a:b].tolist())), "<u4")
+            for a, b in zip(offsets[:-1], offsets[1:], strict=True)
+        ]
 
 
 @lru_cache(maxsize=2)
@@ -140,7 +148,7 @@ def cut_positions(pos: np.ndarray, penalty: np.ndarray, costs: Costs) -> list[in
     """Indices into ``pos`` (ascending, from 0 to the end, no gap above ``size``) of the best cuts."""
     n, size = len(pos), costs.size
     exact: list[list[int] | None] = [None] * n
-    length = 1
+    length = costs.shortest
     while length <= size:
         at = np.searchsorted(pos, pos - length)
         for j in np.flatnonzero(pos[at] == pos - length).tolist():
@@ -282,11 +290,8 @@ def pack(
                 if not len(part):
                     continue
                 at = int(part[0])
-                ids, counts = code.encode(texts.slice(at, len(part)))
-                first = 0
-                for k, count in enumerate(counts.tolist()):
-                    stream.add(keys[at + k], np.concatenate([ids[first : first + count], end]))
-                    first += count
+                for k, ids in enumerate(code.encode(texts.slice(at, len(part)))):
+                    stream.add(keys[at + k], np.concatenate([ids, end]))
                     if stream.n >= costs.block and (rows := stream.pieces()):
                         yield table(rows)
         if rows := stream.pieces(last=True):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import near_dups, packing, quality_net, quality_rules, toxicity
+from callsift.llm import near_dups, packing, quality_net, quality_rules, toxicity, urls
 from callsift.llm.common import held_out, table
 
 
@@ -18,6 +18,14 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "base_failed", "kept",
     )
 
+URL_RULES = (
+    urls.rule("allow", "com/"),
+    urls.rule("block", "example.com/en/"),
+    urls.rule("allow", "www.example.com/en/"),
+    urls.rule("block", "net/es/"),
+    urls.rule("block", "net/fr/"),
+)
+
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
@@ -50,6 +58,11 @@ def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(quality_net.with_score(docs.select("doc_id", "text"), model), 0.7)
 
 
+def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf, "documents"), near_dups.Shape(words=2))
 
@@ -59,6 +72,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_toxicity": (op2_toxicity, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
+    "op7_url_filters": (op7_url_filters, None),
     "op10_near_dups": (op10_near_dups, None),
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import near_dups, packing, quality_net, quality_rules, toxicity, urls
+from callsift.llm import near_dups, neighbours, packing, quality_net, quality_rules, toxicity, urls
 from callsift.llm.common import held_out, table
 
 
@@ -63,6 +63,10 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf, "documents"), near_dups.Shape(words=2))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_url_filters": (op7_url_filters, None),
+    "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_near_dups": (op10_near_dups, None),
 }
 

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import near_dups, neighbours, packing, quality_net, quality_rules, toxicity, urls
+from callsift.llm import (
+    near_dups,
+    neighbours,
+    packing,
+    pieces,
+    quality_net,
+    quality_rules,
+    token_counts,
+    toxicity,
+    urls,
+)
 from callsift.llm.common import held_out, table
 
 
@@ -28,8 +39,6 @@ URL_RULES = (
 
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
-    import public_tokenizers
-
     pieces = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens",
@@ -52,6 +61,11 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(toxicity.with_score(docs.select("doc_id", "text"), model), 0.3)
 
 
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return token_counts.with_counts(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
 def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality_net.fit(docs, table(spark, sf, "labels"))
@@ -63,6 +77,16 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = pieces.with_text(pieces.with_ids(docs, model), model)
+    marked = F.regexp_replace("text", pieces.MARK, " ")
+    return coded.select(
+        "doc_id", F.size("ids").alias("n_pieces"), "ids", (F.col("decoded") == marked).alias("round_trip")
+    )
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -74,9 +98,11 @@ def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
     "op2_toxicity": (op2_toxicity, None),
+    "op3_token_counts": (op3_token_counts, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_url_filters": (op7_url_filters, None),
+    "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_near_dups": (op10_near_dups, None),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.llm import (
+    licenses,
     near_dups,
     neighbours,
     packing,
@@ -66,6 +67,12 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.with_counts(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
 
 
+def op4_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = licenses.scan(docs, licenses.fit(docs))
+    return found.withColumns({c: F.round(c, 4) for c in ("probability", "overlap")})
+
+
 def op5_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality_net.fit(docs, table(spark, sf, "labels"))
@@ -99,6 +106,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_packing": (op1_packing, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_token_counts": (op3_token_counts, None),
+    "op4_license_scans": (op4_license_scans, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_quality_rules": (op6_quality_rules, None),
     "op7_url_filters": (op7_url_filters, None),

@@ -4,8 +4,8 @@ ordinary text.
 Both continue the same base, trained on ordinary text, so that what all texts share compresses
 alike. A window that comes out shorter with the toxic dictionary resembles toxic text; how many
 windows gain how many bytes is calibrated to a probability. As a label says only that a document is
-toxic somewhere, the toxic dictionary is trained again on the windows of toxic documents that
-gained most with the first one.
+toxic somewhere, the toxic dictionary is trained again, on the parts of toxic documents that gain
+most with a dictionary of other toxic documents.
 """
 
 from __future__ import annotations
@@ -32,10 +32,12 @@ class Shape:
     window: int = 64
     stride: int = 40
     base_bytes: int = 110_000
-    own_bytes: int = 12_000
-    rounds: int = 2
-    best_per_doc: int = 10
+    own_bytes: int = 6_000
+    rounds: int = 3
+    best_per_doc: int = 5
     part: int = 32
+    segment: int = 20
+    penalty: float = 0.01
 
 
 def windows(raw: bytes, shape: Shape, start: int = 0, most: int | None = None) -> list[bytes]:
@@ -114,6 +116,16 @@ def narrowed(window: bytes, pair: tuple, shape: Shape) -> bytes:
     return parts[int((lengths(pair[0], parts) - lengths(pair[1], parts)).argmax())]
 
 
+def best_parts(docs: list[list[bytes]], pair: tuple, shape: Shape) -> list[bytes]:
+    """The parts of each document that gain most."""
+    out = []
+    for ws in docs:
+        gain = lengths(pair[0], ws) - lengths(pair[1], ws)
+        top = np.argsort(-gain, kind="stable")[: shape.best_per_doc]
+        out += [narrowed(ws[k], pair, shape) for k in top if gain[k] > 0]
+    return out
+
+
 def fit_model(docs: list[tuple[list[bytes], int]], shape: Shape, prior: float) -> Model:
     """From ``(windows, label)`` of each sampled document; a quarter of the documents calibrates."""
     fitted = [d for k, d in enumerate(docs) if k % 4]
@@ -124,22 +136,19 @@ def fit_model(docs: list[tuple[list[bytes], int]], shape: Shape, prior: float) -
     random.Random(1).shuffle(plain)
     base = trained(plain, shape.base_bytes, 48)
     ordinary = trained(plain[::2], shape.own_bytes, 32)
-    toxic = trained([w for ws, y in fitted if y for w in ws], shape.own_bytes, 32)
+    toxic_docs = [ws for ws, y in fitted if y]
+    halves = [toxic_docs[::2], toxic_docs[1::2] or toxic_docs]
+    chosen = [[w for ws in half for w in ws] for half in halves]
     for _ in range(shape.rounds):
-        pair = compressor(ordinary + base), compressor(toxic + base)
-        best: list[bytes] = []
-        for ws, y in fitted:
-            if y:
-                gain = lengths(pair[0], ws) - lengths(pair[1], ws)
-                top = np.argsort(-gain, kind="stable")[: shape.best_per_doc]
-                best += [ws[k] for k in top if gain[k] > 0]
-        if not best:
-            break
-        toxic = trained([narrowed(w, pair, shape) for w in best], shape.own_bytes, 16)
+        against = compressor(ordinary + base)
+        pairs = [(against, compressor(trained(c, shape.own_bytes, shape.segment) + base)) for c in chosen]
+        # A document is searched with the other half's dictionary: what gains is what they share.
+        chosen = [best_parts(half, pair, shape) or c for half, pair, c in zip(halves, pairs[::-1], chosen, strict=True)]
+    toxic = trained(chosen[0] + chosen[1], shape.own_bytes, shape.segment)
     pair = compressor(ordinary + base), compressor(toxic + base)
     x = np.array([features(iter([lengths(pair[0], ws) - lengths(pair[1], ws)])) for ws, _ in apart])
     center, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
-    weights, offset = fit_logistic((x - center) / spread, np.array([y for _, y in apart]), 1e-3)
+    weights, offset = fit_logistic((x - center) / spread, np.array([y for _, y in apart]), shape.penalty)
     return Model(shape, base, ordinary, toxic, center, spread, weights, offset + prior)
 
 
@@ -147,12 +156,12 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     label: str = "toxic",
-    per_class: int = 2000,
+    per_class: int = 3000,
     windows_per_doc: int = 100,
     shape: Shape = Shape(),
 ) -> Model | float:
     """A model fitted on a bounded sample: ``per_class`` labelled rows of each class and at most
-    ``windows_per_doc`` windows of each, some 26 MB by default. Where a class has no row, the prior
+    ``windows_per_doc`` windows of each, some 40 MB by default. Where a class has no row, the prior
     probability instead. The result is calibrated to the classes' share among all labels."""
 
     @F.pandas_udf("array<binary>")

@@ -23,12 +23,17 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def apply_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below ``MIN_QUALITY`` go. The network learns from the stage's own input."""
-    model = quality_net.fit(docs, table(spark, sf_dir, "labels"))
+    """Documents scored below ``MIN_QUALITY`` go. The network learns from the stage's own input and
+    is calibrated to the labels of the documents in it."""
+    model = quality_net.fit(docs, labels_of(spark, docs, sf_dir))
     scored = quality_net.with_score(docs, model, out="_score")
     return scored.where(F.col("_score") >= MIN_QUALITY).select(docs.columns)
 
 
+def labels_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").join(docs.select("doc_id"), "doc_id", "left_semi")
+
+
 def apply_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id, once if it is repeated."""
     found = written(near_dups.near_duplicates(docs), "near-dups")

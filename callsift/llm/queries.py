@@ -12,6 +12,7 @@ from callsift.llm import (
     licenses,
     near_dups,
     neighbours,
+    oracles,
     packing,
     pieces,
     quality_net,
@@ -108,11 +109,11 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_token_counts": (op3_token_counts, None),
     "op4_license_scans": (op4_license_scans, None),
     "op5_quality_classifier": (op5_quality_classifier, None),
-    "op6_quality_rules": (op6_quality_rules, None),
+    "op6_quality_rules": (op6_quality_rules, oracles.quality_rules()),
     "op7_url_filters": (op7_url_filters, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
-    "op10_near_dups": (op10_near_dups, None),
+    "op10_near_dups": (op10_near_dups, oracles.near_dups()),
 }
 
 

@@ -31,14 +31,12 @@ def suggest_names(clusters: DataFrame) -> DataFrame:
 
 def join_suggestions(clusters: DataFrame, suggestions: DataFrame) -> DataFrame:
     """Clusters with their suggestion; a cluster without one is an error."""
-    return clusters.join(suggestions, "cluster_id", "left").withColumn(
-        "suggested_intent",
-        F.coalesce(
-            "suggested_intent",
-            F.raise_error(
-                F.concat(F.lit("no suggestion for cluster "), F.col("cluster_id").cast("string"))
-            ).cast("string"),
-        ),
+    missing = F.raise_error(
+        F.concat(F.lit("no suggestion for cluster "), F.col("cluster_id").cast("string"))
+    ).cast("boolean")
+    # in a filter, so that it fails even where nothing reads the column
+    return clusters.join(suggestions, "cluster_id", "left").where(
+        F.when(F.col("suggested_intent").isNull(), missing).otherwise(True)
     )
 
 

@@ -159,13 +159,8 @@ def stratified_split(
     hashed = df.withColumn("_h", _hash_key(key, seed)).withColumn("_b", _bucket("_h"))
     quota = dev_quota(df, label, share)
     if strict:
-        quota = quota.withColumn(
-            "_quota",
-            F.when(
-                F.col("_n") < 2,
-                F.raise_error(F.concat(F.lit("class with one row: "), F.col(label))).cast("long"),
-            ).otherwise(F.col("_quota")),
-        )
+        alone = F.raise_error(F.concat(F.lit("class with one row: "), F.col(label))).cast("boolean")
+        quota = quota.where(F.when(F.col("_n") < 2, alone).otherwise(True))  # a filter is never pruned
     running = Window.partitionBy(label).orderBy("_b")
     places = (
         df.select(label, _bucket_of(key, seed).alias("_b"))

@@ -32,7 +32,6 @@ from callsift.operators.ranking import first_per_key, shortest_sentences, top_k_
 from callsift.operators.shaping import computed_once
 
 ORDER = ("source_zip", "ord", "pos")
-ANTI_SALTS = 16
 
 
 def explode_sentences(calls: DataFrame, text: Column, lo: int, hi: int) -> DataFrame:
@@ -226,20 +225,13 @@ def not_in_base(
     """Drop candidates whose intent and case-folded text are in ``base``.
 
     ``base_is_bounded`` says that the caller has a bound on the base rows, so they may be broadcast.
-    Otherwise the distinct base keys are repeated per salt and the candidates salted by map task,
-    so that the copies of one candidate do not meet in one task.
+    Otherwise a skewed candidate side is left to adaptive execution, which splits it.
     """
     present = base.select("intent_id", strip(F.lower("utterance")).alias("_low")).distinct()
     keyed = candidates.withColumn("_low", F.lower("utterance"))
-    on = ["intent_id", "_low"]
     if base_is_bounded:
         present = F.broadcast(present)
-    else:
-        every = F.sequence(F.lit(0), F.lit(ANTI_SALTS - 1))
-        present = present.withColumn("_salt", F.explode(every))
-        keyed = keyed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(ANTI_SALTS)))
-        on = [*on, "_salt"]
-    kept = keyed.join(present, on, "left_anti")
+    kept = keyed.join(present, ["intent_id", "_low"], "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in candidates.columns])
 
 
@@ -326,29 +318,18 @@ def clean_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def pack(df: DataFrame, order: Sequence[str], cap: int = lex.MAX_PER_INTENT) -> DataFrame:
+def pack(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """One row per intent: ``samples[]`` in order and the name of the first.
 
-    Every pack is written after the per-intent cap. A larger intent fails here instead of growing
-    one row without bound: at most ``cap + 1`` rows of an intent ever meet.
+    A pack holds whatever rows an intent has, so an intent is one row here; cap it before
+    (``cap_per_intent``) where that may be too many.
     """
-    top = top_k_per_group(df, ["intent_id"], list(order), cap + 1, rank="_place")
+    place = F.struct(*order)
     return (
-        top.groupBy("intent_id")
+        df.groupBy("intent_id")
         .agg(
-            F.min_by("intent_name", "_place").alias("name"),
-            F.array_sort(F.collect_list(F.struct("_place", "utterance"))).alias("_rows"),
-        )
-        .select(
-            "intent_id",
-            "name",
-            F.when(
-                F.size("_rows") > cap,
-                F.raise_error(F.lit(f"more than {cap} rows in an intent: cap before packing")).cast(
-                    "array<string>"
-                ),
-            )
-            .otherwise(F.transform("_rows", lambda s: s["utterance"]))
-            .alias("samples"),
+            F.min_by("intent_name", place).alias("name"),
+            F.array_sort(F.collect_list(F.struct(place.alias("_place"), "utterance"))).alias("_rows"),
         )
+        .select("intent_id", "name", F.transform("_rows", lambda s: s["utterance"]).alias("samples"))
     )

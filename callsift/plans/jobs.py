@@ -34,7 +34,12 @@ SAMPLE_CHARS = 50_000
 CALL_SAMPLE = 1000
 SPOT_CHECK = 200
 MIN_CORPUS = 50
-CALL_ORDER = ("source_zip", "ord")
+
+
+def call_order(df: DataFrame) -> list[str]:
+    """What orders calls: archives of one base name differ in their path, where it is known."""
+    return [c for c in ("source_zip", "path", "ord") if c in df.columns]
+
 
 
 def read_raw(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +64,7 @@ def dev_sample(texts: DataFrame, n: int = DEV_ROWS, **rules) -> DataFrame:
     kept = texts.where(F.col("text") != "").where(
         dev_sample_predicate("text", "domain", "topic", **rules)
     )
-    return first_rows(kept, CALL_ORDER, n).withColumn("text", truncate("text", SAMPLE_CHARS))
+    return first_rows(kept, call_order(kept), n).withColumn("text", truncate("text", SAMPLE_CHARS))
 
 
 def extract_bucket(
@@ -70,7 +75,7 @@ def extract_bucket(
         F.col("text") != ""
     )
     return (
-        first_rows(kept, CALL_ORDER, n)
+        first_rows(kept, call_order(kept), n)
         .withColumn("text", truncate("text", SAMPLE_CHARS))
         .withColumnRenamed("file_name", "source_file")
     )
@@ -84,7 +89,7 @@ def build_subset(
 ) -> DataFrame:
     """Records with turns to the domain's calls: texts per role, keyword filter, first per hash."""
     texts = call_ops.with_call_texts(calls, customer, agent)
-    return call_ops.first_by_hash(call_ops.keyword_calls(texts, keywords), CALL_ORDER)
+    return call_ops.first_by_hash(call_ops.keyword_calls(texts, keywords), call_order(texts))
 
 
 def subset_counters(
@@ -110,7 +115,7 @@ def subset_counters(
 
 
 def call_sample(calls: DataFrame, n: int = CALL_SAMPLE, seed: int = 42) -> DataFrame:
-    return sample_n(calls, CALL_ORDER, n, seed)
+    return sample_n(calls, call_order(calls), n, seed)
 
 
 def eda_report(
@@ -125,7 +130,7 @@ def eda_report(
             calls, {c: F.col(c) for c in ("customer_text", "full_text")}
         ),
         "top_terms": term_ops.top_terms(preferred, "text", n_terms, stops, min_df),
-        "spot_check": sample_n(preferred, CALL_ORDER, SPOT_CHECK).select("text"),
+        "spot_check": sample_n(preferred, call_order(preferred), SPOT_CHECK).select("text"),
     }
 
 

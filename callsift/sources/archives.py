@@ -20,6 +20,19 @@ BATCH_CHARS = 8 << 20
 MEMBER_SCHEMA = "source_zip string, path string, ord long, file_name string, raw string, error string"
 
 
+# Spark's names for file systems that Arrow knows by another, and those it knows as they are.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gcs", "s3": "s3", "hdfs": "hdfs",
+           "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_uri(path: str) -> str:
+    """The path under Arrow's name of its scheme; an unknown scheme is an error, not a reject."""
+    scheme, colon, rest = path.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"no random access to {scheme}: paths: {path}")
+    return SCHEMES[scheme] + colon + rest
+
+
 def _open(path: str):
     """Random-access file on whatever file system the path names."""
     from pyarrow import fs
@@ -27,10 +40,20 @@ def _open(path: str):
     parsed = urlparse(path)
     if parsed.scheme in ("", "file"):
         return fs.LocalFileSystem().open_input_file(unquote(parsed.path) if parsed.scheme else path)
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = fs.FileSystem.from_uri(arrow_uri(path))
     return system.open_input_file(inner)
 
 
+def _members(handle) -> list[zipfile.ZipInfo]:
+    from pyarrow.lib import ArrowInvalid
+
+    try:
+        with zipfile.ZipFile(handle) as archive:
+            return archive.infolist()
+    except ArrowInvalid as problem:  # a seek before the start of a file too short to be an archive
+        raise zipfile.BadZipFile(str(problem)) from problem
+
+
 def _base_name(path: str) -> str:
     return unquote(path.rstrip("/").rsplit("/", 1)[-1])
 
@@ -41,9 +64,9 @@ def _runs(chunk_bytes: int):
             for path in batch["path"]:
                 out, first, size = [], None, 0
                 try:
-                    with _open(path) as handle, zipfile.ZipFile(handle) as archive:
-                        infos = archive.infolist()
-                except Exception as problem:  # an unreadable archive becomes one reject row
+                    with _open(path) as handle:
+                        infos = _members(handle)
+                except zipfile.BadZipFile as problem:  # a broken archive becomes one reject row
                     yield pd.DataFrame(
                         {"path": [path], "lo": [-1], "hi": [-1], "error": [repr(problem)[:500]]}
                     )
@@ -62,7 +85,7 @@ def _runs(chunk_bytes: int):
 
 def _read_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["source_zip", "path", "ord", "file_name", "raw", "error"]
-    held_path, archive, infos = None, None, []
+    held_path, handle, archive, infos = None, None, None, []
     for batch in batches:
         rows, held = [], 0
         for run in batch.sort_values(["path", "lo"]).itertuples(index=False):
@@ -71,7 +94,11 @@ def _read_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rows.append((name, run.path, -1, None, None, run.error))
                 continue
             if run.path != held_path:
-                archive = zipfile.ZipFile(_open(run.path))
+                if handle is not None:
+                    archive.close()
+                    handle.close()
+                handle = _open(run.path)
+                archive = zipfile.ZipFile(handle)
                 infos, held_path = archive.infolist(), run.path
             for n in range(run.lo, run.hi + 1):
                 member = infos[n].filename
@@ -95,12 +122,13 @@ def _read_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def scan_zip_json(spark: SparkSession, glob: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Every ``.json`` member of every archive: ``(source_zip, path, ord, file_name, raw, error)``.
 
-    ``ord`` is the member's place in its archive. A member or archive that cannot be read gives a
-    row with ``error`` set and no ``raw``.
+    ``ord`` is the member's place in its archive. Base names may repeat, so
+    ``(source_zip, path, ord)`` is the key. A member that cannot be read, or an archive that is no zip
+    file, gives a row with ``error`` set and no ``raw``; a path that cannot be opened is an error.
     """
     archives = spark.read.format("binaryFile").load(glob).select("path", "length")
     total = archives.agg(F.sum("length")).first()[0] or 0  # from the file listing
-    tasks = max(spark.sparkContext.defaultParallelism, min(200_000, total // chunk_bytes + 1))
+    tasks = max(spark.sparkContext.defaultParallelism, total // chunk_bytes + 1)
     runs = archives.select("path").mapInPandas(
         _runs(chunk_bytes), "path string, lo long, hi long, error string"
     )

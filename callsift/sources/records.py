@@ -29,13 +29,17 @@ def decode_json(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     Rejected: unreadable members, broken JSON, anything that is not a non-empty object. The map
     keeps document order, and repeated keys, of which the last one counts.
     """
-    # as the only element of an array, so that anything after the object is an error too
+    # In an array before an object that only its own text's digest names: anything after the record
+    # breaks the array, adds to it, or closes it before that object.
     whole = F.expr(
-        "from_json(concat('[', raw, ']'), 'array<map<string,variant>>', "
-        "map('allowSingleQuotes', 'false'))"
+        """from_json(concat('[', raw, ',{"', sha2(raw, 256), '":1}]'), 'array<map<string,variant>>',
+        map('allowSingleQuotes', 'false', 'maxStringLen', '2147483647'))"""
     )
     is_object = F.rlike("raw", F.lit(r"\A[ \t\r\n]*\{"))
-    only = F.transform(F.array(whole), lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0))))
+    closed = lambda a: F.map_contains_key(F.get(a, F.lit(1)), F.sha2("raw", 256))
+    only = F.transform(
+        F.array(whole), lambda a: F.when((F.size(a) == 2) & closed(a), F.get(a, F.lit(0)))
+    )
     parsed = computed_once(members, {"rec": F.get(F.when(is_object, only), F.lit(0))})
     ok = F.col("rec").isNotNull() & (F.size("rec") > 0)
     good = parsed.where(F.coalesce(ok, F.lit(False)))
@@ -190,11 +194,16 @@ def extract_turns(fields: DataFrame, out: str = "turns") -> DataFrame:
     )
 
 
+def _place(df: DataFrame) -> list[str]:
+    """The columns that order records: archives of one base name differ in their path."""
+    return [c for c in ("source_zip", "path", "ord") if c in df.columns]
+
+
 def raw_calls(good: DataFrame) -> DataFrame:
-    """Decoded records to ``(source_zip, ord, file_name, domain, topic, turns)``."""
+    """Decoded records to ``(source_zip, path, ord, file_name, domain, topic, turns)``; the
+    path only where the records have one."""
     return extract_turns(with_fields(good)).select(
-        "source_zip",
-        "ord",
+        *_place(good),
         "file_name",
         first_field(DOMAIN_KEYS).alias("domain"),
         first_field(TOPIC_KEYS).alias("topic"),
@@ -203,10 +212,10 @@ def raw_calls(good: DataFrame) -> DataFrame:
 
 
 def raw_texts(good: DataFrame) -> DataFrame:
-    """Decoded records to ``(source_zip, ord, file_name, domain, topic, text)``."""
+    """Decoded records to ``(source_zip, path, ord, file_name, domain, topic, text)``; the
+    path only where the records have one."""
     return extract_plain_text(with_fields(good)).select(
-        "source_zip",
-        "ord",
+        *_place(good),
         "file_name",
         first_field(DOMAIN_KEYS).alias("domain"),
         first_field(TOPIC_KEYS).alias("topic"),

@@ -116,12 +116,12 @@ _SLUG = "trim(regexp_replace(lower({}), '[^a-z0-9]+', '_', 'g'), '_')"
 
 @query(
     "slugify",
-    f"""SELECT doc_id, coalesce(nullif({_SLUG.format(q.strip("substr(text, 1, 60)"))}, ''), 'misc')
+    f"""SELECT doc_id, coalesce(nullif({_SLUG.format(q.strip("text"))}, ''), 'misc')
         AS slug FROM documents""",
 )
 def _(spark, sf):
     return v.documents(spark, sf).select(
-        "doc_id", text.slugify(F.substring("text", 1, 60)).alias("slug")
+        "doc_id", text.slugify("text").alias("slug")
     )
 
 

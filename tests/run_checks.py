@@ -1,10 +1,11 @@
 """Compare registered queries with their SQL on one scale: python tests/run_checks.py SF [names]."""
 
 import math
+import os
 import sys
 import time
 
-sys.path.insert(0, "/root/repo")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def frame_rows(cols, rows):

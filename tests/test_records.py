@@ -1,9 +1,11 @@
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from callsift.plans import jobs
+from callsift.sources import archives
 from callsift.sources import records as rec
 from callsift.sources import rules as rule_files
 from callsift.sources.archives import scan_zip_json
@@ -16,12 +18,40 @@ def members(spark, raws):
 
 def test_decode_rejects(spark):
     raws = ['{"a":1}', "[1]", "[]", "{}", "null", "oops", '{"a":1} x', '{"a":1} {"b":2}', '{"a":1,}', "{'a':1}",
-            '{"a":NaN}', None]
+            '{"a":NaN}', None, '{"a":1}]', '{"a":1}] garbage {', '{"a":1}, {"b":2}', '{"a":1},', '{"a":1}]}']
     good, bad = rec.decode_json(members(spark, raws))
     assert sorted(r.ord for r in good.select("ord").collect()) == [0, 10]
     assert bad.count() == len(raws) - 2
 
 
+def test_decode_keeps_very_long_strings(spark):
+    raw = spark.range(1).select(
+        F.lit(0).alias("ord"), F.concat(F.lit('{"a":"'), F.repeat(F.lit("x"), 25_000_000), F.lit('"}')).alias("raw")
+    )
+    good, bad = rec.decode_json(raw)
+    assert good.count() == 1 and bad.count() == 0
+
+
+def test_paths_keep_equal_base_names_apart(spark, tmp_path):
+    for year in ("2024", "2025"):
+        (tmp_path / year).mkdir()
+        with zipfile.ZipFile(tmp_path / year / "a.zip", "w") as z:
+            for n in range(3):
+                z.writestr(f"{n}.json", json.dumps({"text": f"bank call {year} {n}", "domain": "bank"}))
+    good, rejects = jobs.read_raw(spark, f"{tmp_path}/*/*.zip")
+    texts = rec.raw_texts(good)
+    assert rejects.count() == 0
+    assert texts.select(*jobs.call_order(texts)).distinct().count() == 6
+    assert jobs.dev_sample(texts, 3).count() == 3
+
+
+def test_unknown_schemes_fail():
+    assert archives.arrow_uri("s3a://b/k.zip") == "s3://b/k.zip"
+    for path in ("dbfs:/x.zip", "wasbs://c@a/x.zip"):
+        with pytest.raises(ValueError, match="random access"):
+            archives.arrow_uri(path)
+
+
 def test_turn_shapes(spark):
     raws = [
         {"domain": "", "industry": "Bank", "turns": [{"speaker": "A", "text": " hi\t you "}, "bare", {"role": 0, "content": "zz"},

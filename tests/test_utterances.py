@@ -173,12 +173,11 @@ def test_planted_leak_is_found(spark):
     assert [r.key for r in jobs.quality_report(df)["leakage"].collect()] == ["a||one more"]
 
 
-def test_pack_refuses_uncapped_intents(spark):
-    rows = [("a", "A", f"u{i}", i) for i in range(5)]
+def test_pack_holds_all_rows_of_an_intent(spark):
+    rows = [("a", "A" if i == 0 else "B", f"u{i}", i) for i in range(400)][::-1]
     df = spark.createDataFrame(rows, "intent_id string, intent_name string, utterance string, row long")
-    assert ut.pack(df, ["row"]).first().samples == [f"u{i}" for i in range(5)]
-    with pytest.raises(Exception, match="cap before packing"):
-        ut.pack(df, ["row"], cap=3).collect()
+    got = ut.pack(df, ["row"]).first()
+    assert got.name == "A" and got.samples == [f"u{i}" for i in range(400)]
 
 
 def test_candidates_prefer_customer_text(spark):

@@ -78,26 +78,40 @@ def silhouette(
         (entry_col[by_col], entry_row[by_col], entry_val[by_col], norms, codes, names)
     )
 
+    def distances(idx: list, val: list) -> np.ndarray:
+        """Of rows given by their non-zero entries to every row of the sample."""
+        cols, rows_of, vals, norm, code, _ = shared.value
+        flat_idx, flat_val = np.concatenate(idx).astype(np.int64), np.concatenate(val)
+        row = np.repeat(np.arange(len(idx)), [len(i) for i in idx])
+        lo, hi = np.searchsorted(cols, flat_idx, "left"), np.searchsorted(cols, flat_idx, "right")
+        hits = hi - lo
+        entry = np.repeat(lo - (np.cumsum(hits) - hits), hits) + np.arange(hits.sum())
+        place = np.repeat(row, hits) * len(code) + rows_of[entry]
+        products = np.repeat(flat_val, hits) * vals[entry]
+        dots = np.bincount(place, weights=products, minlength=len(idx) * len(code))
+        own = np.bincount(row, weights=flat_val**2, minlength=len(idx))
+        squared = own[:, None] + norm - 2 * dots.reshape(len(idx), len(code))
+        return np.sqrt(np.where(squared < 1e-13, 0.0, squared))
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols, rows_of, vals, norm, code, label_of = shared.value
+        code, label_of = shared.value[-2:]
         sizes = np.bincount(code, minlength=len(label_of))
+        member = np.zeros((len(code), len(label_of)))
+        member[np.arange(len(code)), code] = 1
         for batch in batches:
             scores = np.zeros(len(batch))
             own = np.searchsorted(label_of, batch["_label"].to_numpy())
-            for n, (idx, val) in enumerate(zip(batch["_i"], batch["_v"])):
-                if sizes[own[n]] <= 1 or len(label_of) < 2:
-                    continue
-                dots = np.zeros(len(code))
-                lo, hi = np.searchsorted(cols, idx, "left"), np.searchsorted(cols, idx, "right")
-                for start, stop, v in zip(lo, hi, val):
-                    dots[rows_of[start:stop]] += v * vals[start:stop]
-                squared = float(np.dot(val, val)) + norm - 2 * dots
-                distance = np.sqrt(np.where(squared < 1e-13, 0.0, squared))
-                sums = np.bincount(code, weights=distance, minlength=len(label_of))
-                inside = sums[own[n]] / (sizes[own[n]] - 1)
-                outside = np.delete(sums / sizes, own[n]).min()
-                top = max(inside, outside)
-                scores[n] = (outside - inside) / top if top > 0 else 0.0
+            for at in range(0, len(batch) if len(label_of) > 1 else 0, 64):
+                part, mine = slice(at, at + 64), own[at : at + 64]
+                sums = distances(batch["_i"].tolist()[part], batch["_v"].tolist()[part]) @ member
+                rows = np.arange(len(mine))
+                inside = sums[rows, mine] / np.maximum(sizes[mine] - 1, 1)
+                means = sums / sizes
+                means[rows, mine] = np.inf
+                outside = means.min(axis=1)
+                top = np.maximum(inside, outside)
+                fine = (sizes[mine] > 1) & (top > 0)
+                scores[part] = np.where(fine, (outside - inside) / np.where(fine, top, 1), 0.0)
             yield batch[list(key)].assign(label=batch["_label"], silhouette=scores)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sample.select(*key).schema)

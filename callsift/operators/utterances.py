@@ -276,22 +276,28 @@ def append_and_cap(
     """Base rows, then added rows; first of each pair, ``max_rows`` per intent.
 
     ``row`` of the result orders the rows of an intent. With nothing to add the base stays as it
-    is, duplicates included; this looks at ``adds``, so hand in a written or checkpointed table.
+    is, duplicates included; this looks at ``adds``, so hand in a written table. ``row`` of the base
+    may be anything that orders.
     """
     kept = ["intent_id", "intent_name", "utterance"]
     if adds.isEmpty():
-        return base.select(*kept, F.col("row").cast("long").alias("row"))
-    both = (
-        base.withColumn("_part", F.lit(0))
-        .select(*kept, "_part", "row")
-        .unionByName(
-            adds.withColumn("intent_name", F.col("intent_id"))
-            .withColumn("_part", F.lit(1))
-            .withColumnRenamed("rank", "row")
-            .select(*kept, "_part", "row")
-        )
+        return base.select(*kept, "row")
+    own = base.schema["row"].dataType
+    added = adds.select(
+        "intent_id",
+        F.col("intent_id").alias("intent_name"),
+        "utterance",
+        F.lit(1).alias("_part"),
+        F.lit(None).cast(own).alias("_own"),
+        F.col("rank").alias("_added"),
     )
-    order = ["_part", "intent_id", "row"]
+    both = base.select(
+        *kept,
+        F.lit(0).alias("_part"),
+        F.col("row").alias("_own"),
+        F.lit(None).cast(adds.schema["rank"].dataType).alias("_added"),
+    ).unionByName(added)
+    order = ["_part", "intent_id", "_own", "_added"]
     capped = top_k_per_group(
         dedup_pairs(both, order), ["intent_id"], order, max_rows, rank="_place"
     )

@@ -144,13 +144,15 @@ def _(spark, sf):
 
 @query(
     "display_names",
-    f"""WITH {q.UTT}, {q.BASE} SELECT intent_id, max_by(intent_name || '_' || CAST(ord AS VARCHAR),
-        (source_zip, ord, pos)) AS intent_name FROM base GROUP BY intent_id""",
+    f"""WITH {q.UTT} SELECT intent_id, max_by('name_' || intent_id || '_' || CAST(ord AS VARCHAR),
+        (source_zip, ord, pos)) AS intent_name FROM utt GROUP BY intent_id""",
 )
 def _(spark, sf):
-    base = v.base_utterances(spark, sf)
-    several = base.withColumn(
-        "intent_name", F.concat("intent_name", F.lit("_"), F.col("row.ord").cast("string"))
+    several = v.utterances(spark, sf).select(
+        "intent_id",
+        F.concat(F.lit("name_"), "intent_id", F.lit("_"), F.col("ord").cast("string")).alias("intent_name"),
+        "utterance",
+        F.struct("source_zip", "ord", "pos").alias("row"),
     )
     return ops.display_names(several)
 

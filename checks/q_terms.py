@@ -179,10 +179,11 @@ def _(spark, sf):
 
 @query(
     "silhouette",
-    """WITH p AS (SELECT a.vec_id, a.label, b.label AS other, b.vec_id AS bid,
+    """WITH s AS (SELECT * FROM embeddings ORDER BY sha256('42|' || vec_id) LIMIT 5000),
+        p AS (SELECT a.vec_id, a.label, b.label AS other, b.vec_id AS bid,
           sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
                lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE)))) AS d
-        FROM embeddings a, embeddings b),
+        FROM s a, s b),
         m AS (SELECT vec_id, label, other, sum(d) AS s, count(*) AS n FROM p GROUP BY ALL),
         ab AS (SELECT vec_id, label, max(CASE WHEN other = label THEN s / greatest(n - 1, 1) END) AS a,
                       max(CASE WHEN other = label THEN n END) AS own,

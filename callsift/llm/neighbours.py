@@ -7,7 +7,7 @@ candidates in the order of their projected distances, and stops once the next on
 chi-square quantile times its k-th best true distance: whatever is left is nearer only with the
 stated chance.
 
-Cells are half-space cuts of the projected space, dealt into blocks of about 4 * sqrt(rows); each
+Cells are half-space cuts of the projected space, dealt into blocks of about 8 * sqrt(rows); each
 block has its own kd-tree. A query first searches one block of its own cell; the stopping test then
 rules out whole cells before the second and last search.
 """
@@ -119,7 +119,10 @@ class Tree:
         self.high = np.array([points[r].max(axis=0) for r in leaves])
         order = np.concatenate(leaves)
         self.ids, self.x = ids[order], x[order]
-        self.first = np.cumsum([0, *map(len, leaves)])
+        ends = np.cumsum([len(r) for r in leaves])
+        self.rows = np.full((len(leaves), max(map(len, leaves))), -1, np.int64)  # of each leaf
+        for k, rows in enumerate(leaves):
+            self.rows[k, : len(rows)] = np.arange(ends[k] - len(rows), ends[k])
         self.largest, self.shape = space.largest, shape
 
     def search(
@@ -132,14 +135,20 @@ class Tree:
         away = box_distance(point, self.low, self.high)
         order = np.argsort(away, kind="stable")
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
+        at, step = 0, 8
         while at < len(order) and away[order[at]] <= c * bound:
             leaves = order[at : at + step]
             at, step = at + step, min(step * 2, 32)
-            rows = np.concatenate([np.arange(self.first[n], self.first[n + 1]) for n in leaves])
-            rows = rows[self.ids[rows] != own]
-            ids = np.concatenate([ids, self.ids[rows]])
-            scores = np.concatenate([scores, (self.x[rows] * q).sum(axis=1)])
+            rows = self.rows[leaves].ravel()
+            rows = rows[rows >= 0]
+            found = (self.x[rows] * q).sum(axis=1)
+            better = self.ids[rows] != own
+            if len(ids) == k:
+                better &= found >= scores[-1]
+            if not better.any():
+                continue
+            ids = np.concatenate([ids, self.ids[rows[better]]])
+            scores = np.concatenate([scores, found[better]])
             best = np.lexsort((ids, -scores))[:k]
             ids, scores = ids[best], scores[best]
             if len(ids) == k:
@@ -226,7 +235,7 @@ def nearest(
     directions = np.random.default_rng(11).normal(size=(dimension + 1, shape.directions))
     everywhere = np.full((1, shape.directions), np.inf)
     space = Space(largest * (1 + 1e-12), directions, -everywhere, everywhere)
-    block_rows = int(np.ceil(4 * np.sqrt(n)))
+    block_rows = int(np.ceil(8 * np.sqrt(n)))
     drawn = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(shape.sample).toPandas()
     cells = min(shape.most_cells, -(-n // block_rows))
     low, high = cut_cells(space.points(np.stack(drawn["v"].to_numpy())), cells)

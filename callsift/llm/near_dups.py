@@ -1,8 +1,10 @@
 """MinHash near-duplicates, verified by odd sketches and then on the full shingle sets.
 
-1. In the row: a text's shingle set, its MinHash samples, band keys over them, and an odd sketch:
-   a bitmap in which every sample flips one bit, so that equal samples of two documents cancel in
-   the XOR of their bitmaps and its population count tells how many differ.
+1. In the row: a text's shingle set, band keys over its MinHash samples, and an odd sketch: a bitmap
+   in which every sample flips one bit, so that equal samples of two documents cancel in the XOR of
+   their bitmaps and its population count tells how many differ. The sketch folds one-permutation
+   samples, the least hash of each of many bins: they cost one pass, and small sets are their own
+   samples.
 2. Texts with equal sets are one class, whose smallest id stands for it from here on.
 3. Within a band bucket no pairs are listed. A minimum spanning forest over the sketch distances
    links what looks alike with at most one edge per member; large buckets are dealt into blocks.
@@ -12,12 +14,12 @@
 5. Components come from alternating large-star and small-star steps on written edge tables.
 
 With the default shape a pair of similarity 0.8 misses all its bands with a chance of 3e-6, and its
-sketch lies beyond the limit with one of 3e-7.
+sketch lies beyond the limit, over four standard deviations from what such a pair shows, with one below
+1e-5; pairs below a similarity of about 0.75 lie beyond it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -44,24 +46,32 @@ class Shape:
     percent: int = 80
     bands: int = 32
     rows: int = 5
-    bits: int = 512
-    sigmas: float = 5.0
-    block: int = 4096
+    bins: int = 4096
+    bits: int = 2048
+    sigmas: float = 4.0
+    block: int = 1024
 
     @property
     def samples(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def most_bits(self) -> int:
-        """The largest population count a pair at the threshold may show."""
-        apart = 1 - self.percent / 100
-        flips = 2 * self.samples * apart
-        left = (1 - 2 / self.bits) ** flips
-        from_samples = 2 * math.sqrt(self.samples * apart * (1 - apart)) * left
-        from_bits = math.sqrt(self.bits * (1 - left * left)) / 2
-        mean = self.bits / 2 * (1 - left)
-        return math.ceil(mean + self.sigmas * math.hypot(from_samples, from_bits))
+    def most_bits(self, in_samples: np.ndarray, in_sets: np.ndarray) -> np.ndarray:
+        """The largest population count of pairs at the threshold, from the sums of both documents'
+        numbers of sketched samples and of shingles."""
+        similar = self.percent / 100
+        union = in_sets / (1 + similar)
+
+        def filled(n: np.ndarray) -> np.ndarray:
+            return self.bins * -np.expm1(n * np.log1p(-1 / self.bins))
+
+        bins = in_samples * filled(union) / np.maximum(2 * filled(in_sets / 2), 1e-9)
+        apart = np.maximum(in_samples - 2 * similar * bins, 0)
+        unseen = np.clip(1 - bins / np.maximum(union, 1), 0, 1)
+        from_samples = 4 * bins * similar * (1 - similar) * unseen
+        one, two = (1 - 2 / self.bits) ** apart, (1 - 4 / self.bits) ** apart
+        from_bits = self.bits / 4 * (1 - one * one + (self.bits - 1) * (two - one * one))
+        spread = np.sqrt(from_samples * one * one + np.maximum(from_bits, 0))
+        return self.bits / 2 * (1 - one) + self.sigmas * spread + 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -86,15 +96,14 @@ def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _factors(shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(1)
-    draw = rng.integers(0, 2**63, (3, shape.samples), np.uint64)
-    return draw[0] << _U(1) | _U(1), draw[1], draw[2] << _U(1) | _U(1)
+def _factors(shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(1).integers(0, 2**63, (2, shape.samples), np.uint64)
+    return draw[0] << _U(1) | _U(1), draw[1]
 
 
-def sketch(hashes: np.ndarray, shape: Shape) -> tuple[np.ndarray, bytes]:
-    """Band keys and the odd sketch of a set that is not empty."""
-    times, plus, tell = _factors(shape)
+def band_keys(hashes: np.ndarray, shape: Shape) -> np.ndarray:
+    """Of a set that is not empty."""
+    times, plus = _factors(shape)
     least = np.full(shape.samples, np.iinfo(np.uint64).max, _U)
     for at in range(0, len(hashes), 1024):
         answers = np.multiply.outer(hashes[at : at + 1024], times)
@@ -103,15 +112,24 @@ def sketch(hashes: np.ndarray, shape: Shape) -> tuple[np.ndarray, bytes]:
     key = _mixed(np.arange(1, shape.bands + 1, dtype=_U))
     for column in least.reshape(shape.bands, shape.rows).T:
         key = _mixed(key * _U(0x9E3779B97F4A7C15) + column)
-    flipped = (_mixed(least * tell + plus) % _U(shape.bits)).astype(np.int64)
+    return key.view(np.int64)
+
+
+def odd_sketch(hashes: np.ndarray, shape: Shape) -> tuple[bytes, int]:
+    """The parity bitmap of a set's one-permutation samples, and their number. ``hashes`` are sorted,
+    so a bin's least one is its first."""
+    bins = hashes // _U(2**64 // shape.bins)
+    first = np.concatenate([[True], bins[1:] != bins[:-1]])
+    flipped = (_mixed(hashes[first] ^ _U(0x5851F42D4C957F2D)) % _U(shape.bits)).astype(np.int64)
     odd = np.packbits((np.bincount(flipped, minlength=shape.bits) & 1).astype(np.uint8))
-    return key.view(np.int64), odd.tobytes()
+    return odd.tobytes(), len(flipped)
 
 
 def sketched(docs: DataFrame, shape: Shape, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, hi, lo, bands, odd``; the last four are null for an empty set."""
+    """``doc_id, n_shingles, hi, lo, bands, odd, sampled``; all but the first two are null for an
+    empty set."""
 
-    @F.pandas_udf("n_shingles long, hi long, lo long, bands array<long>, odd binary")
+    @F.pandas_udf("n_shingles long, hi long, lo long, bands array<long>, odd binary, sampled long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -120,11 +138,13 @@ def sketched(docs: DataFrame, shape: Shape, doc_id: str, text: str) -> DataFrame
                 if len(hashes):
                     digest = xxhash.xxh3_128_digest(hashes.tobytes())
                     hi, lo = np.frombuffer(digest, np.int64).tolist()
-                    rows.append((len(hashes), hi, lo, *sketch(hashes, shape)))
+                    odd, sampled = odd_sketch(hashes, shape)
+                    rows.append((len(hashes), hi, lo, band_keys(hashes, shape), odd, sampled))
                 else:
-                    rows.append((0, None, None, None, None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "hi", "lo", "bands", "odd"])
-            yield out.astype({"hi": "Int64", "lo": "Int64"})
+                    rows.append((0, None, None, None, None, None))
+            names = ["n_shingles", "hi", "lo", "bands", "odd", "sampled"]
+            out = pd.DataFrame(rows, columns=names)
+            yield out.astype({"hi": "Int64", "lo": "Int64", "sampled": "Int64"})
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), run(F.col(text)).alias("_s")).select(
         "doc_id", "_s.*"
@@ -157,42 +177,57 @@ def by_bucket(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[n
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
-def bits_apart(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(many ^ one).sum(axis=-1, dtype=np.int64)
+@dataclass(frozen=True)
+class Sketches:
+    """Members of a bucket: odd sketches, numbers of samples and of shingles."""
+
+    odd: np.ndarray
+    sampled: np.ndarray
+    size: np.ndarray
+    shape: Shape
+
+    def distance(self, one: int, many: np.ndarray) -> np.ndarray:
+        """Of a member to others, in millionths of their samples; above a million where they cannot
+        be linked."""
+        apart = np.bitwise_count(self.odd[many] ^ self.odd[one]).sum(axis=-1, dtype=np.int64)
+        total, sizes = self.sampled[many] + self.sampled[one], self.size[many] + self.size[one]
+        least = np.minimum(self.size[many], self.size[one])
+        fits = 100 * least >= self.shape.percent * (sizes - least)  # no smaller set can be so similar
+        fits &= apart <= self.shape.most_bits(total, sizes)
+        return np.where(fits, apart * 1_000_000 // total, FAR)
 
 
-def spanning_forest(ids: np.ndarray, odd: np.ndarray, most: int) -> list[tuple[int, int, int]]:
-    """Edges ``(smaller id, larger id, bits)`` of a minimum spanning forest without edges above
-    ``most``; Prim's algorithm, in memory proportional to the members."""
+FAR = 1 << 40
+
+
+def spanning_forest(ids: np.ndarray, members: Sketches) -> list[tuple[int, int, int]]:
+    """Edges ``(smaller id, larger id, distance)`` of a minimum spanning forest over the members that
+    may be linked; Prim's algorithm, in memory proportional to the members."""
     left = np.arange(1, len(ids))
-    near, via = bits_apart(odd[0], odd[1:]), np.zeros(len(ids) - 1, np.int64)
+    near, via = members.distance(0, left), np.zeros(len(left), np.int64)
     out = []
     while len(left):
         k = int(near.argmin())
         new, w = int(left[k]), int(near[k])
         a, b = int(ids[via[k]]), int(ids[new])
-        if w <= most and a != b:
+        if w < FAR and a != b:
             out.append((min(a, b), max(a, b), w))
         left, near, via = np.delete(left, k), np.delete(near, k), np.delete(via, k)
-        other = bits_apart(odd[new], odd[left])
+        other = members.distance(new, left)
         via[other < near] = new
         near = np.minimum(near, other)
     return out
 
 
 def forest_edges(members: DataFrame, shape: Shape) -> DataFrame:
-    """``members (key, n, id, odd)`` to distinct edges ``(a, b, bits)``; bounded by the members."""
-    most = shape.most_bits
+    """``members (key, n, id, odd, sampled, size)`` to distinct edges ``(a, b, bits)``; bounded by the
+    members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, int]] = []
-        for _, _, ids, odd in by_bucket(batches, 2):
-            if len(ids) == 2:
-                w = int(bits_apart(odd[0], odd[1]))
-                if w <= most and ids[0] != ids[1]:
-                    rows.append((int(ids.min()), int(ids.max()), w))
-            elif len(ids) > 2:
-                rows += spanning_forest(ids, odd, most)
+        for _, _, ids, odd, sampled, size in by_bucket(batches, 2):
+            if len(ids) > 1:
+                rows += spanning_forest(ids, Sketches(odd, sampled, size, shape))
             if len(rows) > 20_000:
                 yield _edges(rows)
                 rows = []
@@ -202,7 +237,7 @@ def forest_edges(members: DataFrame, shape: Shape) -> DataFrame:
     blocks = F.ceil(F.col("n") / shape.block)
     dealt = members.withColumn("blk", F.pmod(F.xxhash64("id", "key"), blocks))
     return (
-        dealt.select("key", "blk", "id", "odd")
+        dealt.select("key", "blk", "id", "odd", "sampled", "size")
         .repartition("key", "blk")
         .sortWithinPartitions("key", "blk")
         .mapInArrow(run, "a long, b long, bits long")
@@ -218,28 +253,28 @@ def _edges(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
 
 
 def crossing_pairs(members: DataFrame, shape: Shape) -> DataFrame:
-    """All pairs of a bucket that look alike and have different labels, as distinct ``(a, b)``.
+    """All pairs of a bucket that may be linked and have different labels, as distinct ``(a, b)``.
 
-    ``members (key, n, id, odd, label)``. A bucket of more than ``block`` rows is dealt into blocks
-    that hold its most frequent label; the rows of all other labels visit every block.
+    ``members`` with their ``label``. A bucket of more than ``block`` rows is dealt into blocks that
+    hold its most frequent label; the rows of all other labels visit every block.
     """
-    most = shape.most_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blk, ids, odd, label, visits in by_bucket(batches, 2):
-            for at in range(0, len(ids), 256):
-                to = min(at + 256, len(ids))
-                apart = np.zeros((to - at, len(ids)), np.int64)
-                for k in range(odd.shape[1]):
-                    apart += np.bitwise_count(odd[at:to, k, None] ^ odd[None, :, k])
-                wanted = (apart <= most) & (label[at:to, None] != label[None, :])
-                wanted &= ids[at:to, None] < ids[None, :]
+        for _, blk, ids, odd, sampled, size, label, visits in by_bucket(batches, 2):
+            sketches = Sketches(odd, sampled, size, shape)
+            rows: list[tuple[int, int, int]] = []
+            for k in range(len(ids)):
+                others = np.flatnonzero((label != label[k]) & (ids > ids[k]))
                 if blk[0] > 0:  # pairs of two visitors are block 0's
-                    wanted &= ~(visits[at:to, None] & visits[None, :])
-                i, j = np.nonzero(wanted)
-                if len(i):
-                    rows = zip(ids[at + i].tolist(), ids[j].tolist(), apart[i, j].tolist(), strict=True)
-                    yield _edges(list(rows))
+                    others = others[~(visits[others] & visits[k])]
+                if len(others):
+                    w = sketches.distance(k, others)
+                    rows += [(int(ids[k]), int(ids[j]), int(d)) for j, d in zip(others, w, strict=True) if d < FAR]
+                if len(rows) > 20_000:
+                    yield _edges(rows)
+                    rows = []
+            if rows:
+                yield _edges(rows)
 
     spread = (
         members.groupBy("key")
@@ -263,10 +298,11 @@ def crossing_pairs(members: DataFrame, shape: Shape) -> DataFrame:
     dealt = told.withColumn(
         "blk", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own))
     )
+    sketch = ("id", "odd", "sampled", "size")
     whole = mixed.where(F.col("n") <= shape.block).select(
-        "key", F.lit(0).cast("long").alias("blk"), "id", "odd", "label", F.lit(False).alias("visits")
+        "key", F.lit(0).cast("long").alias("blk"), *sketch, "label", F.lit(False).alias("visits")
     )
-    rows = whole.unionByName(dealt.select("key", "blk", "id", "odd", "label", "visits"))
+    rows = whole.unionByName(dealt.select("key", "blk", *sketch, "label", "visits"))
     pairs = (
         rows.repartition("key", "blk")
         .sortWithinPartitions("key", "blk")
@@ -299,43 +335,46 @@ def confirmed(edges: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``(id, label)`` for the ids of ``edges (a, b)``: the smallest id reachable.
 
-    Each step reads and writes an edge table; no node's neighbours are gathered.
+    Each step reads and writes an edge table; no node's neighbours are gathered. The steps keep what
+    is connected so, hence a forest of stars around smallest ids is the result.
     """
 
     def down(pairs: DataFrame) -> DataFrame:
-        high, low = F.greatest("a", "b"), F.least("a", "b")
-        return pairs.where("a != b").select(high.alias("a"), low.alias("b")).distinct()
+        return pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
-    def state(pairs: DataFrame) -> tuple:
-        return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+    def is_stars(pairs: DataFrame) -> bool:
+        rows, ends = pairs.agg(F.count("*"), F.count_distinct("a")).first()
+        tops = pairs.select(F.col("b").alias("a"))
+        return rows == ends and pairs.join(tops, "a", "left_semi").isEmpty()
 
-    now = written(down(edges), "edges")
-    before = state(now)
-    while True:
+    now = written(down(edges).distinct(), "edges")
+    while not is_stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(
-            both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least"
-        )
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(down(large), "large-star")
-        least = written(now.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = now.join(least, "a")
-        now = written(
-            down(
-                small.select("a", F.col("m").alias("b")).unionByName(
-                    small.select(F.col("b").alias("a"), F.col("m").alias("b"))
-                )
-            ),
-            "small-star",
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.where("b > a").join(written(least, "least"), "a")
+        now = written(down(large.select(F.col("b").alias("a"), F.col("m").alias("b"))), "large-star")
+        least = now.groupBy("a").agg(F.min("b").alias("m"))
+        small = now.join(written(least, "least"), "a")
+        to_least = small.select("a", F.col("m").alias("b")).unionByName(
+            small.select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
-        after = state(now)
-        if after == before:
-            break
-        before = after
+        now = written(down(to_least).distinct(), "small-star")
     roots = now.select(F.col("b").alias("id")).distinct().withColumn("label", F.col("id"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("label")).unionByName(roots)
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels after further ``edges (a, b)``: components of the labels they join."""
+    across = _labelled(_labelled(edges, labels, "a", "la"), labels, "b", "lb").where("la != lb")
+    across = written(across.select(F.col("la").alias("a"), F.col("lb").alias("b")), "across")
+    if across.isEmpty():
+        return labels
+    joined = written(components(across), "joined")
+    alone = joined.join(labels.select("id"), "id", "left_anti")
+    moved = _labelled(labels, joined, "label", "_to")
+    return written(moved.select("id", F.col("_to").alias("label")).unionByName(alone), "labels")
+
+
 def _labelled(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
     """``df`` with the label of its id; an id without one is its own label."""
     side = labels.select(F.col("id").alias(column), F.col("label").alias(out))
@@ -367,12 +406,15 @@ def near_duplicates(
     )
     heads = known.where("n_shingles > 0 and doc_id = rep").select("doc_id").distinct()
     heads = nodes.where("n_shingles > 0 and doc_id is not null").join(heads, "doc_id", "left_semi")
-    heads = written(heads.select(F.col("doc_id").alias("id"), "bands", "odd"), "heads")
+    heads = written(
+        heads.select(F.col("doc_id").alias("id"), "bands", "odd", "sampled", F.col("n_shingles").alias("size")),
+        "heads",
+    )
 
     rows = heads.select("id", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = rows.join(written(shared, "buckets"), "key").join(heads.select("id", "odd"), "id")
-    members = written(members.select("key", "n", "id", "odd"), "members")
+    members = rows.join(written(shared, "buckets"), "key").join(heads.drop("bands"), "id")
+    members = written(members.select("key", "n", "id", "odd", "sampled", "size"), "members")
     tree = written(forest_edges(members, shape), "forest")
 
     # The texts of all that any round may compare: shuffled once, then read from their own table.
@@ -402,12 +444,12 @@ def near_duplicates(
     )
     more = written(confirmed(between, texts, shape), "tested")
     tested = tested.unionByName(more)
-    labels = written(components(tested.where("ok")), "labels")
+    labels = merged(labels, more.where("ok").select("a", "b"))
 
     rest = crossing_pairs(_labelled(members, labels, "id", "label"), shape)
     rest = written(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     last = written(confirmed(rest, texts, shape), "tested")
-    labels = written(components(tested.unionByName(last).where("ok")), "labels")
+    labels = merged(labels, last.where("ok").select("a", "b"))
 
     found = _labelled(known, labels, "rep", "component_id")
     return found.select(

@@ -160,6 +160,8 @@ def by_bucket(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[n
         columns = [
             np.frombuffer(b"".join(c.to_pylist()), _U).reshape(batch.num_rows, -1)
             if pa.types.is_binary(c.type)
+            else c.flatten().to_numpy().reshape(batch.num_rows, -1)
+            if pa.types.is_list(c.type)
             else c.to_numpy(zero_copy_only=False)
             for c in batch.columns
         ]
@@ -252,15 +254,16 @@ def _edges(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     )
 
 
-def crossing_pairs(members: DataFrame, shape: Shape) -> DataFrame:
+def crossing_pairs(members: DataFrame, bands: DataFrame, shape: Shape) -> DataFrame:
     """All pairs of a bucket that may be linked and have different labels, as distinct ``(a, b)``.
 
-    ``members`` with their ``label``. A bucket of more than ``block`` rows is dealt into blocks that
+    ``members`` with their ``label``, and the ``bands`` of each id: a pair that shares several buckets
+    comes from the first of them alone. A bucket of more than ``block`` rows is dealt into blocks that
     hold its most frequent label; the rows of all other labels visit every block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blk, ids, odd, sampled, size, label, visits in by_bucket(batches, 2):
+        for key, blk, ids, odd, sampled, size, label, visits, keys in by_bucket(batches, 2):
             sketches = Sketches(odd, sampled, size, shape)
             rows: list[tuple[int, int, int]] = []
             for k in range(len(ids)):
@@ -268,8 +271,10 @@ def crossing_pairs(members: DataFrame, shape: Shape) -> DataFrame:
                 if blk[0] > 0:  # pairs of two visitors are block 0's
                     others = others[~(visits[others] & visits[k])]
                 if len(others):
-                    w = sketches.distance(k, others)
-                    rows += [(int(ids[k]), int(ids[j]), int(d)) for j, d in zip(others, w, strict=True) if d < FAR]
+                    others = others[sketches.distance(k, others) < FAR]
+                    first = (keys[others] == keys[k]).argmax(axis=1)
+                    others = others[keys[k][first] == key[0]]
+                    rows += [(int(ids[k]), int(j), 0) for j in ids[others]]
                 if len(rows) > 20_000:
                     yield _edges(rows)
                     rows = []
@@ -282,7 +287,7 @@ def crossing_pairs(members: DataFrame, shape: Shape) -> DataFrame:
         .where(F.col("_low") != F.col("_high"))
         .select("key")
     )
-    mixed = members.join(written(spread, "mixed"), "key")
+    mixed = members.join(written(spread, "mixed"), "key").join(bands, "id")
     large = written(mixed.where(F.col("n") > shape.block), "large")
     common = (
         large.groupBy("key", "label")
@@ -300,9 +305,9 @@ def crossing_pairs(members: DataFrame, shape: Shape) -> DataFrame:
     )
     sketch = ("id", "odd", "sampled", "size")
     whole = mixed.where(F.col("n") <= shape.block).select(
-        "key", F.lit(0).cast("long").alias("blk"), *sketch, "label", F.lit(False).alias("visits")
+        "key", F.lit(0).cast("long").alias("blk"), *sketch, "label", F.lit(False).alias("visits"), "bands"
     )
-    rows = whole.unionByName(dealt.select("key", "blk", *sketch, "label", "visits"))
+    rows = whole.unionByName(dealt.select("key", "blk", *sketch, "label", "visits", "bands"))
     pairs = (
         rows.repartition("key", "blk")
         .sortWithinPartitions("key", "blk")
@@ -411,6 +416,8 @@ def near_duplicates(
         "heads",
     )
 
+    if heads.count() > heads.select("id").distinct().count():  # repeated rows
+        heads = written(heads.dropDuplicates(["id", "odd"]), "heads")
     rows = heads.select("id", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = rows.join(written(shared, "buckets"), "key").join(heads.drop("bands"), "id")
@@ -446,7 +453,7 @@ def near_duplicates(
     tested = tested.unionByName(more)
     labels = merged(labels, more.where("ok").select("a", "b"))
 
-    rest = crossing_pairs(_labelled(members, labels, "id", "label"), shape)
+    rest = crossing_pairs(_labelled(members, labels, "id", "label"), heads.select("id", "bands"), shape)
     rest = written(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     last = written(confirmed(rest, texts, shape), "tested")
     labels = merged(labels, last.where("ok").select("a", "b"))

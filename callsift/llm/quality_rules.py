@@ -236,10 +236,32 @@ def keep(
     lang: str = "lang",
 ) -> DataFrame:
     """The rows of ``docs`` that pass, as they are: one pass for the references, one for the verdicts,
-    and no text is shuffled."""
-    profiled = profile(docs, common, text)
-    references = fit_references(profiled, common, limits, lang)
-    return with_distances(profiled, references, common).where(passes(limits)).select(docs.columns)
+    and no text is shuffled. One function gives the whole verdict, so that a text is counted once."""
+    counted = written(profile(docs.select(lang, text), common, text).select(lang, "_p"), "profile")
+    references = fit_references(counted, common, limits, lang)
+    bins = [{w.encode(): k for k, w in enumerate(common[name])} for name in sorted(common)]
+    ends = np.cumsum([0, *(len(b) + 1 for b in bins)])
+
+    @F.pandas_udf("boolean")
+    def verdict(texts: pd.Series) -> pd.Series:
+        rows = [counts_of(t, bins) for t in texts]
+        n, repeated = (np.array([r[k] for r in rows], np.int64) for k in (0, 4))
+        chars = np.array([r[5] for r in rows], float).reshape(len(rows), -1)
+        words_of = np.array([r[6] for r in rows], float).reshape(len(rows), -1)
+        best, pair = np.full(len(rows), np.inf), np.zeros((len(rows), 2))
+        for k, name in enumerate(sorted(common)):
+            if name in references:
+                dc = js_distance(chars, references[name][0])
+                dw = js_distance(words_of[:, ends[k] : ends[k + 1]], references[name][1])
+                nearer = dc + dw < best
+                pair[nearer] = np.stack([dc, dw], axis=1)[nearer]
+                best = np.minimum(best, dc + dw)
+        failed = (n < limits.min_words_base) | (100 * repeated > limits.max_repeat_percent * n)
+        far = (chars.sum(axis=1) >= limits.min_chars) & (pair[:, 0] > limits.max_char_distance)
+        far |= (n >= limits.min_words) & (pair[:, 1] > limits.max_word_distance)
+        return pd.Series(~failed & ~far, dtype=bool)
+
+    return docs.where(verdict(F.col(text)))
 
 
 def judge(

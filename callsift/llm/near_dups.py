@@ -39,8 +39,8 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Shape:
-    """``percent``: documents are linked when 100 * intersection >= percent * union. ``block`` rows
-    of a bucket are compared in one task; ``sigmas`` is the slack of the sketch's verdict."""
+    """``percent``: documents are linked when 100 * intersection >= percent * union. Two blocks
+    of about ``block`` rows of a bucket meet in one task; ``sigmas`` is the slack of the sketch's verdict."""
 
     words: int = 5
     percent: int = 80
@@ -258,18 +258,19 @@ def crossing_pairs(members: DataFrame, bands: DataFrame, shape: Shape) -> DataFr
     """All pairs of a bucket that may be linked and have different labels, as distinct ``(a, b)``.
 
     ``members`` with their ``label``, and the ``bands`` of each id: a pair that shares several buckets
-    comes from the first of them alone. A bucket of more than ``block`` rows is dealt into blocks that
-    hold its most frequent label; the rows of all other labels visit every block.
+    comes from the first of them alone. The rows of a bucket of more than ``block`` are dealt into
+    blocks, those of its most frequent label into blocks of their own. A task meets two blocks, or one
+    with itself; two blocks of the most frequent label need not meet.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, blk, ids, odd, sampled, size, label, visits, keys in by_bucket(batches, 2):
+        for key, one, two, ids, odd, sampled, size, label, of_two, keys in by_bucket(batches, 3):
             sketches = Sketches(odd, sampled, size, shape)
             rows: list[tuple[int, int, int]] = []
             for k in range(len(ids)):
                 others = np.flatnonzero((label != label[k]) & (ids > ids[k]))
-                if blk[0] > 0:  # pairs of two visitors are block 0's
-                    others = others[~(visits[others] & visits[k])]
+                if one[0] != two[0]:  # pairs inside a block come from its meeting with itself
+                    others = others[of_two[others] != of_two[k]]
                 if len(others):
                     others = others[sketches.distance(k, others) < FAR]
                     first = (keys[others] == keys[k]).argmax(axis=1)
@@ -293,24 +294,40 @@ def crossing_pairs(members: DataFrame, bands: DataFrame, shape: Shape) -> DataFr
         large.groupBy("key", "label")
         .count()
         .groupBy("key")
-        .agg(F.max_by("label", "count").alias("_common"))
+        .agg(
+            F.max_by("label", "count").alias("_common"),
+            F.max("count").alias("_alike"),
+            F.sum("count").alias("_all"),
+        )
     )
-    blocks = F.ceil(F.col("n") / shape.block)
-    told = large.join(written(common, "common"), "key").withColumn(
-        "visits", F.col("label") != F.col("_common")
+    told = large.join(written(common, "common"), "key")
+    # Blocks of other labels are numbered below ``n_other``, those of the most frequent one from there.
+    n_other = F.ceil((F.col("_all") - F.col("_alike")) / shape.block)
+    n_alike = F.ceil(F.col("_alike") / shape.block)
+    at = F.xxhash64("id", "key")
+    own = F.when(F.col("label") == F.col("_common"), n_other + F.pmod(at, n_alike)).otherwise(F.pmod(at, n_other))
+    told = told.withColumns({"_own": own, "_other": n_other, "_blocks": n_other + n_alike})
+    below = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.least(F.col("_own"), F.col("_other") - 1)),
+        lambda i: F.struct(i.alias("one"), F.col("_own").alias("two"), (i != F.col("_own")).alias("of_two")),
     )
-    own = F.array(F.pmod(F.xxhash64("id", "key"), blocks))
-    dealt = told.withColumn(
-        "blk", F.explode(F.when(F.col("visits"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own))
+    above = F.transform(
+        F.sequence(F.col("_own") + 1, F.col("_blocks") - 1),
+        lambda j: F.struct(F.col("_own").alias("one"), j.alias("two"), F.lit(False).alias("of_two")),
     )
+    meetings = F.when(F.col("_own") < F.col("_other"), F.concat(below, above)).otherwise(below)
+    dealt = told.withColumn("_m", F.explode(meetings))
     sketch = ("id", "odd", "sampled", "size")
+    zero = F.lit(0).cast("long")
     whole = mixed.where(F.col("n") <= shape.block).select(
-        "key", F.lit(0).cast("long").alias("blk"), *sketch, "label", F.lit(False).alias("visits"), "bands"
+        "key", zero.alias("one"), zero.alias("two"), *sketch, "label", F.lit(False).alias("of_two"), "bands"
+    )
+    rows = whole.unionByName(
+        dealt.select("key", "_m.one", "_m.two", *sketch, "label", "_m.of_two", "bands")
     )
-    rows = whole.unionByName(dealt.select("key", "blk", *sketch, "label", "visits", "bands"))
     pairs = (
-        rows.repartition("key", "blk")
-        .sortWithinPartitions("key", "blk")
+        rows.repartition("key", "one", "two")
+        .sortWithinPartitions("key", "one", "two")
         .mapInArrow(run, "a long, b long, bits long")
     )
     return pairs.select("a", "b").distinct()

@@ -97,6 +97,31 @@ def test_null_ids_and_empty(spark):
     assert near_dups.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_no_task_holds_more_than_two_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = rng.choices([f"w{k}" for k in range(400)], k=80)
+    texts = [" ".join(passage + [f"x{k}y{j}" for j in range(12)]) for k in range(240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shape = Shape(words=2, block=16)
+    nodes = near_dups.sketched(docs, shape, "doc_id", "text").withColumnRenamed("doc_id", "id")
+    rows = nodes.selectExpr("id", "explode(bands) as key", "odd", "sampled", "n_shingles as size")
+    counts = rows.groupBy("key").count().withColumnRenamed("count", "n")
+    members = rows.join(counts.where("n > 1"), "key").select("key", "n", "id", "odd", "sampled", "size")
+    met, kind = [], type(docs)
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, *a, **b: met.append(df) or run(df, *a, **b))
+    for label in ("id", "if(id % 3 > 0, -1, id)"):
+        labelled = members.selectExpr("*", f"{label} as label").localCheckpoint()
+        assert labelled.agg({"n": "max"}).first()[0] > 100
+        met.clear()
+        pairs = near_dups.crossing_pairs(labelled, nodes.select("id", "bands"), shape)
+        got = sorted(map(tuple, pairs.collect()))
+        one_block = near_dups.crossing_pairs(labelled, nodes.select("id", "bands"), Shape(words=2, block=10**6))
+        assert got == sorted(map(tuple, one_block.collect())) and len(got) > 1000
+        task = met[0].columns[: met[0].columns.index("id")]
+        assert met[0].groupBy(*task).count().agg({"count": "max"}).first()[0] <= 4 * shape.block
+
+
 def two_sets(rng, size, similarity):
     both = math.ceil(2 * size * similarity / (1 + similarity))
     pool = np.unique(rng.integers(0, 2**64, 2 * size + 10, np.uint64))

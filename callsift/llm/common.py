@@ -57,6 +57,15 @@ def labelled_sample(
     return texts.join(chosen, "doc_id").select("doc_id", "text", "y")
 
 
+def kept_apart(classes: dict[int, int]) -> tuple[set[int], set[int]]:
+    """Ids to train on and, a quarter, to calibrate on; all ids for both where one would lack a class."""
+    ids = sorted(classes)
+    parts = {i for k, i in enumerate(ids) if k % 4}, set(ids[::4])
+    if min(len({classes[i] for i in part}) for part in parts) < 2:
+        return set(ids), set(ids)
+    return parts
+
+
 def prior_log_odds(labels: DataFrame, label: str) -> float:
     """Log-odds of label 1 among all labels a fit may read, each class counted once more than seen."""
     row = (

@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from callsift.llm.common import (
     fit_logistic,
+    kept_apart,
     labelled_sample,
     prior_log_odds,
     sigmoid,
     utf8,
 )
+from callsift.session import written
 
 
 @dataclass(frozen=True)
@@ -144,12 +146,13 @@ def fit(
     epochs: int = 6,
     shape: Shape = Shape(),
 ) -> Net | float:
-    """A network fitted on a bounded sample: ``per_class`` labelled rows of each class and
-    ``chunks_per_doc`` chunks of each. Where a class has no row, the prior probability instead.
+    """A network fitted on a bounded sample of ``per_class`` labelled rows of each class. Where a
+    class has no row, the prior probability instead.
 
-    The driver sees those chunks alone, 12 MB by default. A document's mean chunk logit
-    is calibrated, on a quarter of the documents kept out of the training, to the classes'
-    share among all labels that a fit may read.
+    It is trained on ``chunks_per_doc`` chunks of each row, which the driver sees, 12 MB by default. A
+    document's mean chunk logit over its whole text, as in scoring, is calibrated in a second pass of
+    Spark, on a quarter of the documents kept out of the training, to the classes' share among all
+    labels that a fit may read.
     """
     half = shape.half
 
@@ -159,20 +162,29 @@ def fit(
             [chunks_of(utf8(t), int(k), half, chunks_per_doc) for k, t in zip(ids, texts, strict=True)]
         )
 
-    sample = labelled_sample(docs, labels, label, per_class)
+    sample = written(labelled_sample(docs, labels, label, per_class), "labelled")
     rows = sample.select("doc_id", "y", cut("doc_id", "text").alias("chunks")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["y"], [bytes(c) for c in r["chunks"]]))
     prior = prior_log_odds(labels, label)
     if len({r["y"] for r in rows}) < 2:
         return float(sigmoid(prior))
-    fitted = [r for k, r in enumerate(rows) if k % 4]
-    apart = [r for k, r in enumerate(rows) if k % 4 == 0]
-    if min(len({r["y"] for r in part}) for part in (fitted, apart)) < 2:
-        fitted = apart = rows  # too few documents to hold some back
+    ids, apart = kept_apart({r["doc_id"]: r["y"] for r in rows})
+    fitted = [r for r in rows if r["doc_id"] in ids]
     chunks = [bytes(c) for r in fitted for c in r["chunks"]]
     net = train(chunks, np.array([r["y"] for r in fitted for _ in r["chunks"]]), shape, epochs)
-    means = [[np.mean([net.chunk_logits(bytes(c)).mean() for c in r["chunks"]])] for r in apart]
-    scale, offset = fit_logistic(np.array(means), np.array([r["y"] for r in apart]), penalty=1e-4)
+
+    @F.pandas_udf("double")
+    def mean_logit(ids: pd.Series, texts: pd.Series) -> pd.Series:
+        means = [
+            float(net.chunk_logits(utf8(t)).mean()) if k in apart else None
+            for k, t in zip(ids, texts, strict=True)
+        ]
+        return pd.Series(means, dtype="float64")
+
+    rows = sample.select("doc_id", "y", mean_logit("doc_id", "text").alias("x")).collect()
+    known = sorted((r["doc_id"], r["y"], r["x"]) for r in rows if r["doc_id"] in apart)
+    means, y = np.array([[x] for *_, x in known]), np.array([y for _, y, _ in known])
+    scale, offset = fit_logistic(means, y, penalty=1e-4)
     return Net(
         shape, net.tables, net.bias, net.out, net.shift, float(scale[0]), offset + prior
     )

@@ -20,7 +20,8 @@ import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import fit_logistic, labelled_sample, prior_log_odds, sigmoid, utf8
+from callsift.llm.common import fit_logistic, kept_apart, labelled_sample, prior_log_odds, sigmoid, utf8
+from callsift.session import written
 
 HEADER = 600  # a trained dictionary starts with at most so many bytes of ids and entropy tables
 AT_ONCE = 1 << 15  # windows compressed together
@@ -116,40 +117,53 @@ def narrowed(window: bytes, pair: tuple, shape: Shape) -> bytes:
     return parts[int((lengths(pair[0], parts) - lengths(pair[1], parts)).argmax())]
 
 
-def best_parts(docs: list[list[bytes]], pair: tuple, shape: Shape) -> list[bytes]:
-    """The parts of each document that gain most."""
-    out = []
-    for ws in docs:
-        gain = lengths(pair[0], ws) - lengths(pair[1], ws)
-        top = np.argsort(-gain, kind="stable")[: shape.best_per_doc]
-        out += [narrowed(ws[k], pair, shape) for k in top if gain[k] > 0]
-    return out
+def best_parts(raw: bytes, pair: tuple, shape: Shape) -> list[bytes]:
+    """The parts of a whole text that gain most."""
+    gain = np.concatenate(list(gains_of(raw, shape, pair)))
+    top = np.argsort(-gain, kind="stable")[: shape.best_per_doc]
+    return [narrowed(windows(raw, shape, int(k) * shape.stride, 1)[0], pair, shape) for k in top if gain[k] > 0]
 
 
-def fit_model(docs: list[tuple[list[bytes], int]], shape: Shape, prior: float) -> Model:
-    """From ``(windows, label)`` of each sampled document; a quarter of the documents calibrates."""
-    fitted = [d for k, d in enumerate(docs) if k % 4]
-    apart = [d for k, d in enumerate(docs) if k % 4 == 0]
-    if min(len({y for _, y in part}) for part in (fitted, apart)) < 2:
-        fitted = apart = docs  # too few documents to hold some back
-    plain = [w for ws, y in fitted if not y for w in ws]
-    random.Random(1).shuffle(plain)
-    base = trained(plain, shape.base_bytes, 48)
-    ordinary = trained(plain[::2], shape.own_bytes, 32)
-    toxic_docs = [ws for ws, y in fitted if y]
-    halves = [toxic_docs[::2], toxic_docs[1::2] or toxic_docs]
-    chosen = [[w for ws in half for w in ws] for half in halves]
-    for _ in range(shape.rounds):
-        against = compressor(ordinary + base)
-        pairs = [(against, compressor(trained(c, shape.own_bytes, shape.segment) + base)) for c in chosen]
-        # A document is searched with the other half's dictionary: what gains is what they share.
-        chosen = [best_parts(half, pair, shape) or c for half, pair, c in zip(halves, pairs[::-1], chosen, strict=True)]
-    toxic = trained(chosen[0] + chosen[1], shape.own_bytes, shape.segment)
-    pair = compressor(ordinary + base), compressor(toxic + base)
-    x = np.array([features(iter([lengths(pair[0], ws) - lengths(pair[1], ws)])) for ws, _ in apart])
-    center, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
-    weights, offset = fit_logistic((x - center) / spread, np.array([y for _, y in apart]), shape.penalty)
-    return Model(shape, base, ordinary, toxic, center, spread, weights, offset + prior)
+def searched(sample: DataFrame, halves: dict[int, tuple[int, ...]], contents: list[tuple], shape: Shape) -> list[list[bytes]]:
+    """The best parts of the texts of each half, by the contents of its pair of dictionaries."""
+
+    @F.pandas_udf("array<struct<half:int,part:binary>>")
+    def best(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        pairs = [(compressor(a), compressor(b)) for a, b in contents]
+        for ids, texts in batches:
+            yield pd.Series(
+                [
+                    [
+                        {"half": h, "part": part}
+                        for h in halves.get(key, ())
+                        for part in best_parts(utf8(text), pairs[h], shape)
+                    ]
+                    for key, text in zip(ids, texts, strict=True)
+                ]
+            )
+
+    rows = sample.where("y = 1").select("doc_id", F.posexplode(best("doc_id", "text"))).collect()
+    found = sorted((r["doc_id"], r["pos"], r["col"]["half"], bytes(r["col"]["part"])) for r in rows)
+    return [[part for _, _, h, part in found if h == half] for half in (0, 1)]
+
+
+def whole_features(sample: DataFrame, ids: set[int], contents: tuple, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Features over all windows of the sampled rows with these ids, and their labels."""
+
+    @F.pandas_udf("array<double>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        pair = compressor(contents[0]), compressor(contents[1])
+        for keys, texts in batches:
+            yield pd.Series(
+                [
+                    features(gains_of(utf8(text), shape, pair)) if key in ids else None
+                    for key, text in zip(keys, texts, strict=True)
+                ]
+            )
+
+    rows = sample.select("doc_id", "y", run("doc_id", "text").alias("x")).collect()
+    known = sorted((r["doc_id"], r["y"], r["x"]) for r in rows if r["x"] is not None)
+    return np.array([x for *_, x in known]), np.array([y for _, y, _ in known])
 
 
 def fit(
@@ -160,9 +174,14 @@ def fit(
     windows_per_doc: int = 100,
     shape: Shape = Shape(),
 ) -> Model | float:
-    """A model fitted on a bounded sample: ``per_class`` labelled rows of each class and at most
-    ``windows_per_doc`` windows of each, some 40 MB by default. Where a class has no row, the prior
-    probability instead. The result is calibrated to the classes' share among all labels."""
+    """A model fitted on a bounded sample of ``per_class`` labelled rows of each class. Where a class
+    has no row, the prior probability instead. The result is calibrated to the classes' share among
+    all labels.
+
+    The first dictionaries are trained on at most ``windows_per_doc`` windows of each row, some 40 MB
+    by default, which come to the driver. What toxic rows share is then searched in their whole texts,
+    and the features that calibrate are those of whole texts, as in scoring: both are passes of Spark.
+    """
 
     @F.pandas_udf("array<binary>")
     def cut(ids: pd.Series, texts: pd.Series) -> pd.Series:
@@ -174,13 +193,31 @@ def fit(
             out.append(parts)
         return pd.Series(out)
 
-    sample = labelled_sample(docs, labels, label, per_class)
+    sample = written(labelled_sample(docs, labels, label, per_class), "labelled")
     rows = sample.select("doc_id", "y", cut("doc_id", "text").alias("parts")).collect()
     known = sorted((r["doc_id"], r["y"], [bytes(w) for w in r["parts"]]) for r in rows)
     prior = prior_log_odds(labels, label)
     if len({y for _, y, _ in known}) < 2:
         return float(sigmoid(prior))
-    return fit_model([(ws, y) for _, y, ws in known], shape, prior)
+    fitted, apart = kept_apart({key: y for key, y, _ in known})
+    plain = [w for key, y, ws in known if key in fitted and not y for w in ws]
+    random.Random(1).shuffle(plain)
+    base = trained(plain, shape.base_bytes, 48)
+    ordinary = trained(plain[::2], shape.own_bytes, 32)
+    toxic_ids = sorted({key for key, y, _ in known if y and key in fitted})
+    halves = {key: (k % 2,) if len(toxic_ids) > 1 else (0, 1) for k, key in enumerate(toxic_ids)}
+    chosen = [[w for key, _, ws in known if half in halves.get(key, ()) for w in ws] for half in (0, 1)]
+    against = ordinary + base
+    for _ in range(shape.rounds):
+        own = [trained(c, shape.own_bytes, shape.segment) + base for c in chosen]
+        # A document is searched with the other half's dictionary: what gains is what they share.
+        found = searched(sample, halves, [(against, own[1]), (against, own[0])], shape)
+        chosen = [new or c for new, c in zip(found, chosen, strict=True)]
+    toxic = trained(chosen[0] + chosen[1], shape.own_bytes, shape.segment)
+    x, y = whole_features(sample, apart, (against, toxic + base), shape)
+    center, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
+    weights, offset = fit_logistic((x - center) / spread, y, shape.penalty)
+    return Model(shape, base, ordinary, toxic, center, spread, weights, offset + prior)
 
 
 def with_score(

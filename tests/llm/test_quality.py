@@ -115,3 +115,24 @@ def test_scores_of_odd_rows(spark, module, label):
     assert module.with_score(docs.limit(0), model).count() == 0
     prior = module.fit(docs, labels.where(F.col(label) == 1))
     assert isinstance(prior, float) and 0.5 < prior < 1
+
+
+@pytest.mark.parametrize("module, label", [(quality_net, "quality"), (toxicity, "toxic")])
+def test_calibration_reads_whole_texts(spark, monkeypatch, module, label):
+    rng = random.Random(2)
+    words = "the of and in that with was for on are".split()
+    texts = [" ".join(rng.choices(words, k=4000)) + (" $$$ %%% idiot" * 9 if k % 2 else "") for k in range(16)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(16)], f"doc_id long, {label} int")
+    seen, fit = [], module.fit_logistic
+    monkeypatch.setattr(module, "fit_logistic", lambda x, *a, **b: seen.append(x) or fit(x, *a, **b))
+    model = module.fit(docs, labels)
+    read = [k for k in range(16) if zlib.crc32(str(k).encode()) % 4 != 2]
+    apart = read[::4] if len({k % 2 for k in read[::4]}) == 2 else read
+    if module is quality_net:
+        want = [[model.chunk_logits(common.utf8(texts[k])).mean()] for k in apart]
+        assert seen[0] == pytest.approx(np.array(want), rel=1e-4)
+    else:
+        pair = model.compressors()
+        want = np.array([toxicity.features(toxicity.gains_of(common.utf8(texts[k]), model.shape, pair)) for k in apart])
+        assert seen[0] * model.spread + model.center == pytest.approx(want)

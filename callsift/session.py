@@ -29,3 +29,10 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``fresh_path`` named, once nothing reads it any more."""
+    assert path.startswith(shared_dir(spark).rstrip("/") + "/"), path
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

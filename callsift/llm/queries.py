@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.llm import (
+    centroids,
     licenses,
+    merkle,
     near_dups,
     neighbours,
     oracles,
@@ -103,6 +105,20 @@ def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf, "documents"), near_dups.Shape(words=2))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    one_more = F.when(tampered, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
+    proofs = merkle.manifest(table(spark, sf, "documents"), claimed={"n_chars": one_more})
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+def op13_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_packing": (op1_packing, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -114,6 +130,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_near_dups": (op10_near_dups, oracles.near_dups()),
+    "op12_merkle_manifest": (op12_merkle_manifest, oracles.merkle_manifest()),
+    "op13_centroid_clustering": (op13_centroid_clustering, oracles.centroid_clustering()),
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from callsift.llm import (
     centroids,
+    language_model,
     licenses,
     merkle,
     near_dups,
@@ -105,6 +106,17 @@ def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf, "documents"), near_dups.Shape(words=2))
 
 
+def op11_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
+    model = language_model.fit(docs.where(~out), order=2)
+    scored = language_model.with_scores(docs, model)
+    return scored.select(
+        "doc_id", out.alias("held_out"), "lm.n_tokens", "lm.n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "lm.base_score", "lm.score",
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
     one_more = F.when(tampered, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
@@ -130,6 +142,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_near_dups": (op10_near_dups, oracles.near_dups()),
+    "op11_language_model": (op11_language_model, None),
     "op12_merkle_manifest": (op12_merkle_manifest, oracles.merkle_manifest()),
     "op13_centroid_clustering": (op13_centroid_clustering, oracles.centroid_clustering()),
 }

@@ -1,21 +1,308 @@
-"""K-means over TF-IDF rows, choice of k by silhouette, and cluster summaries."""
+"""K-means over TF-IDF rows, choice of k by silhouette, and cluster summaries.
+
+All starts of a search share their passes over the rows: the centres of every start, for one k or
+for many, stand in one matrix, a task finds the nearest centre of each start for its rows, and
+Spark sums what the rows that changed their centre add to and take from the centres.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsift.operators.ranking import sample_n, top_k_per_group
 from callsift.session import written
 
 FALLBACK_K = 18
+CENTRE_CELLS = 1 << 23  # numbers in the centres that share a pass: 64 MB
+SEED_ROWS = 4096  # rows that first centres are drawn from
+BLOCK_ROWS = 4096
+CELLS = 1 << 21  # products a task holds at a time
+
+
+# --- rows as arrays -------------------------------------------------------------------------------
+
+
+def _entries(df: DataFrame, col: str) -> tuple[Column, Column]:
+    """Places and values of the entries of a vector or array column."""
+    if isinstance(df.schema[col].dataType, VectorUDT):
+        vec = F.unwrap_udt(col)
+        dense = F.transform(vec["values"], lambda _, i: i)
+        return F.coalesce(vec["indices"], dense), vec["values"]
+    values = F.col(col).cast("array<double>")
+    return F.transform(values, lambda _, i: i), values
+
+
+@dataclass
+class Rows:
+    """Sparse rows: lengths, and places and values of all entries, one row after the other."""
+
+    lengths: np.ndarray
+    idx: np.ndarray
+    val: np.ndarray
+
+    @classmethod
+    def of_lists(cls, idx: pa.Array, val: pa.Array) -> Rows:
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(idx), 0)).astype(np.int64)
+        return cls(lengths, np.asarray(idx.flatten()).astype(np.int64), np.asarray(val.flatten()).astype(np.float64))
+
+    @property
+    def squares(self) -> np.ndarray:
+        owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        return np.bincount(owner, weights=self.val**2, minlength=len(self.lengths))
+
+    def parts(self, cells: int) -> Iterator[tuple[int, Rows]]:
+        """Runs of rows with some ``cells`` entries, each with the number of its first row."""
+        ends = np.cumsum(self.lengths)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // max(cells, 1))) + 1).tolist(), len(ends)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                x, y = int(ends[a] - self.lengths[a]), int(ends[b - 1])
+                yield a, Rows(self.lengths[a:b], self.idx[x:y], self.val[x:y])
+
+    def dots(self, matrix: np.ndarray) -> np.ndarray:
+        """Products with the columns of ``matrix``, which has a row per place."""
+        n, width = len(self.lengths), matrix.shape[0]
+        if len(self.val) == n * width:  # full rows
+            return self.val.reshape(n, width) @ matrix
+        out = np.zeros((n, matrix.shape[1]))
+        some = np.flatnonzero(self.lengths)
+        if len(some):
+            starts = (np.cumsum(self.lengths) - self.lengths)[some]
+            out[some] = np.add.reduceat(matrix[self.idx] * self.val[:, None], starts, axis=0)
+        return out
+
+
+# --- k-means --------------------------------------------------------------------------------------
+
+
+@dataclass
+class Start:
+    """One search for ``k`` centres; ``centres`` has a row per centre."""
+
+    k: int
+    centres: np.ndarray
+    sums: np.ndarray = field(default=None)
+    counts: np.ndarray = field(default=None)
+    before: np.ndarray | None = None
+    cost: float = np.inf
+    done: bool = False
+
+    def __post_init__(self) -> None:
+        self.sums, self.counts = np.zeros_like(self.centres), np.zeros(self.k)
+
+    def step(self, tolerance: float, last: bool) -> None:
+        """Move the centres, unless they stay: then they are those that ``cost`` was measured with."""
+        full = self.counts > 0.5
+        means = np.where(full[:, None], self.sums / np.maximum(self.counts, 1)[:, None], self.centres)
+        if last or ((means - self.centres) ** 2).sum(axis=1).max(initial=0) <= tolerance**2:
+            self.done = True
+        else:
+            self.before, self.centres = self.centres, means
+
+
+def _owners(rows: Rows, starts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row and start the nearest centre, the first on ties, and the squared distance to it."""
+    matrix = np.concatenate(starts).T.copy()
+    half = (matrix**2).sum(axis=0)
+    edges = np.cumsum([0, *map(len, starts)])
+    own = np.empty((len(rows.lengths), len(starts)), np.int64)
+    far = np.empty((len(rows.lengths), len(starts)))
+    for at, part in rows.parts(CELLS // max(matrix.shape[1], 1)):
+        gaps = half - 2 * part.dots(matrix)
+        here = slice(at, at + len(part.lengths))
+        for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            own[here, r] = gaps[:, a:b].argmin(axis=1)
+            far[here, r] = gaps[:, a:b].min(axis=1)
+    return own, np.maximum(far + rows.squares[:, None], 0)
+
+
+def packed(features: DataFrame, col: str = "features") -> DataFrame:
+    """Rows as blocks ``(lengths, idx, val)`` of binary arrays, written once for all passes."""
+    idx, val = _entries(features, col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(at, BLOCK_ROWS)
+                rows = Rows.of_lists(part.column(0), part.column(1))
+                blobs = [rows.lengths.astype("<i8"), rows.idx.astype("<i4"), rows.val.astype("<f8")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b.tobytes()], pa.binary()) for b in blobs], ["lengths", "idx", "val"]
+                )
+
+    blocks = features.select(idx.alias("idx"), val.alias("val")).mapInArrow(run, "lengths binary, idx binary, val binary")
+    return written(blocks, "feature-blocks")
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[Rows]:
+    for r in batch.to_pylist():
+        yield Rows(
+            np.frombuffer(r["lengths"], "<i8"), np.frombuffer(r["idx"], "<i4").astype(np.int64),
+            np.frombuffer(r["val"], "<f8"),
+        )
+
+
+def _pass(blocks: DataFrame, starts: Sequence[Start]) -> None:
+    """Assign all rows to the centres of all starts, and bring sums, counts and costs up to date."""
+    spark = blocks.sparkSession
+    width = starts[0].centres.shape[1]
+    first = starts[0].before is None
+    edges = np.cumsum([0, *(s.k for s in starts)])
+    cells = int(edges[-1]) * width
+    shared = spark.sparkContext.broadcast(
+        ([s.centres for s in starts], None if first else [s.before for s in starts])
+    )  # at most CENTRE_CELLS numbers each
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, before = shared.value
+        sums, counts, costs = np.zeros(cells), np.zeros(edges[-1]), np.zeros(len(now))
+        for batch in batches:
+            for rows in _unpacked(batch):
+                own, far = _owners(rows, now)
+                costs += far.sum(axis=0)
+                old = None if before is None else _owners(rows, before)[0]
+                for r in range(len(now)):
+                    moved = np.ones(len(own), bool) if old is None else own[:, r] != old[:, r]
+                    entry = np.repeat(moved, rows.lengths)
+                    for sign, side in ((1, own), (-1, old)):
+                        if side is None or not moved.any():
+                            continue
+                        centre = edges[r] + side[:, r]
+                        counts += sign * np.bincount(centre[moved], minlength=edges[-1])
+                        place = np.repeat(centre, rows.lengths)[entry] * width + rows.idx[entry]
+                        np.add.at(sums, place, sign * rows.val[entry])
+        values = np.concatenate([sums, counts, costs])
+        slots = np.flatnonzero(values)
+        for at in range(0, len(slots), 1 << 16):
+            some = slots[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(values[some])], ["slot", "add"])
+
+    added = blocks.mapInArrow(run, "slot long, add double").groupBy("slot").agg(F.sum("add").alias("add")).toArrow()
+    values = np.zeros(cells + int(edges[-1]) + len(starts))
+    values[np.asarray(added["slot"])] = np.asarray(added["add"])
+    shared.unpersist()
+    for r, (s, a, b) in enumerate(zip(starts, edges[:-1], edges[1:], strict=True)):
+        s.sums += values[a * width : b * width].reshape(s.k, width)
+        s.counts += values[cells + a : cells + b]
+        s.cost = float(values[cells + edges[-1] + r])
+
+
+def _seeds(rows: Rows, width: int, k: int, seed: int) -> np.ndarray:
+    """First centres by k-means++ among the rows; fewer rows than centres give fewer."""
+    rng = np.random.default_rng(seed)
+    ends, squares = np.cumsum(rows.lengths), rows.squares
+
+    def dense(i: int) -> np.ndarray:
+        out = np.zeros(width)
+        here = slice(int(ends[i] - rows.lengths[i]), int(ends[i]))
+        out[rows.idx[here]] = rows.val[here]
+        return out
+
+    centres = [dense(int(rng.integers(len(ends))))]
+    gap = np.full(len(ends), np.inf)
+    while len(centres) < min(k, len(ends)):
+        c = centres[-1]
+        gap = np.minimum(gap, np.maximum(squares + (c**2).sum() - 2 * rows.dots(c[:, None])[:, 0], 0))
+        gap[gap < 1e-12] = 0
+        total = gap.sum()
+        pick = int(rng.choice(len(ends), p=gap / total)) if total > 0 else int(rng.integers(len(ends)))
+        centres.append(dense(pick))
+    return np.stack(centres)
+
+
+@dataclass(frozen=True)
+class Clustering:
+    """Centres of one k, and the sum of squared distances to them."""
+
+    centres: np.ndarray
+    cost: float
+    col: str = "features"
+
+    def getK(self) -> int:  # noqa: N802
+        return len(self.centres)
+
+    def transform(self, df: DataFrame, out: str = "cluster_id") -> DataFrame:
+        """Add the number of the nearest centre; runs in the row."""
+        return with_clusters(df, [self], self.col, "_clusters").withColumn(out, F.col("_clusters")[0]).drop("_clusters")
+
+
+def with_clusters(df: DataFrame, models: Sequence[Clustering], col: str, out: str) -> DataFrame:
+    """Add the array of each row's nearest centres, one for each model."""
+    shared = df.sparkSession.sparkContext.broadcast([m.centres for m in models])
+    idx, val = _entries(df, col)
+
+    @F.arrow_udf("array<int>")
+    def nearest(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for i, v in batches:
+            own = _owners(Rows.of_lists(i, v), shared.value)[0].astype(np.int32)
+            yield pa.ListArray.from_arrays(
+                pa.array(np.arange(len(own) + 1) * own.shape[1], pa.int32()), pa.array(own.ravel())
+            )
+
+    return df.withColumn(out, nearest(idx, val))
+
+
+def _width(features: DataFrame, col: str) -> int:
+    if isinstance(features.schema[col].dataType, VectorUDT):
+        vec = F.unwrap_udt(col)
+        return features.agg(F.max(F.coalesce(vec["size"], F.size(vec["values"])))).first()[0] or 0
+    return features.agg(F.max(F.size(col))).first()[0] or 0
+
+
+def kmeans_all(
+    features: DataFrame,
+    ks: Sequence[int],
+    n_init: int = 10,
+    seed: int = 42,
+    max_iter: int = 300,
+    col: str = "features",
+    tolerance: float = 1e-4,
+) -> dict[int, Clustering]:
+    """Euclidean k-means for every k, the cheapest of ``n_init`` starts each; all starts share passes.
+
+    A start ends when no centre moves by more than ``tolerance``, or after ``max_iter`` rounds. First
+    centres are drawn by k-means++ from the ``SEED_ROWS`` rows of smallest hash; every round reads
+    all rows. Starts whose centres together have up to ``CENTRE_CELLS`` numbers share a pass; where
+    there are more, groups of starts follow one another. Rows are read once before the passes.
+    """
+    idx, val = _entries(features, col)
+    entries = features.select(idx.alias("i"), val.alias("v"))
+    sample = entries.orderBy(F.xxhash64("i", "v"), "i", "v").limit(SEED_ROWS).toArrow().combine_chunks()
+    rows = Rows.of_lists(*(sample.column(c).combine_chunks() for c in ("i", "v")))
+    width = _width(features, col)
+    if not len(rows.lengths):
+        raise ValueError("no rows to cluster")
+    blocks = packed(features, col)
+    best: dict[int, Clustering] = {}
+    todo = [(k, i) for k in ks for i in range(n_init)]
+    while todo:
+        group: list[Start] = []
+        named: list[int] = []
+        while todo and (not group or (sum(s.k for s in group) + todo[0][0]) * width <= CENTRE_CELLS):
+            k, i = todo.pop(0)
+            first = _seeds(rows, width, k, seed + i)
+            group.append(Start(len(first), first))
+            named.append(k)
+        active = list(group)
+        for turn in range(max(max_iter, 1)):
+            _pass(blocks, active)
+            for s in active:
+                s.step(tolerance, turn + 1 >= max_iter)
+            active = [s for s in active if not s.done]
+            if not active:
+                break
+        for k, s in zip(named, group, strict=True):
+            if k not in best or s.cost < best[k].cost:
+                best[k] = Clustering(s.centres, s.cost, col)
+    return best
 
 
 def kmeans_best(
@@ -25,19 +312,90 @@ def kmeans_best(
     seed: int = 42,
     max_iter: int = 300,
     col: str = "features",
-) -> KMeansModel:
-    """Euclidean k-means, the cheapest of ``n_init`` starts. Persist ``features`` before."""
+) -> Clustering:
+    """Euclidean k-means, the cheapest of ``n_init`` starts."""
+    return kmeans_all(features, [k], n_init, seed, max_iter, col)[k]
+
+
+# --- silhouette -----------------------------------------------------------------------------------
+
 
-    def fit(i: int) -> KMeansModel:
-        return KMeans(
-            k=k, seed=seed + i, maxIter=max_iter, featuresCol=col, predictionCol="cluster_id"
-        ).fit(features)
+def _silhouettes(sample: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows ``(key, label, silhouette)`` for every place in the array ``_labels`` of a sample's rows
+    ``(key, _labels, _i, _v)``: label and score are arrays as well.
 
-    return reduce(
-        lambda best, new: new if new.summary.trainingCost < best.summary.trainingCost else best,
-        (fit(i) for i in range(n_init)),
+    The sample's entries are broadcast; each task takes the distances of its rows to all of the
+    sample once and adds them up for the clusters of every labelling at the same time.
+    """
+    rows = sample.select("_labels", "_i", "_v").toArrow()  # a sample: bounded by its caller
+    labels = np.array(rows["_labels"].to_pylist(), np.int64).reshape(rows.num_rows, -1)
+    every = [np.unique(labels[:, j], return_inverse=True) for j in range(labels.shape[1])]
+    lists = [rows[c].combine_chunks() for c in ("_i", "_v")]
+    known = Rows.of_lists(*[c if isinstance(c, pa.Array) else c.chunk(0) for c in lists])
+    entry_row = np.repeat(np.arange(len(known.lengths)), known.lengths)
+    by_col = np.argsort(known.idx, kind="stable")
+    shared = sample.sparkSession.sparkContext.broadcast(
+        (known.idx[by_col], entry_row[by_col], known.val[by_col], known.squares, every)
     )
 
+    def distances(rows: Rows) -> np.ndarray:
+        """Of rows given by their non-zero entries to every row of the sample."""
+        cols, rows_of, vals, norm, _ = shared.value
+        n, m = len(rows.lengths), len(norm)
+        row = np.repeat(np.arange(n), rows.lengths)
+        lo, hi = np.searchsorted(cols, rows.idx, "left"), np.searchsorted(cols, rows.idx, "right")
+        hits = hi - lo
+        entry = np.repeat(lo - (np.cumsum(hits) - hits), hits) + np.arange(hits.sum())
+        place = np.repeat(row, hits) * m + rows_of[entry]
+        products = np.repeat(rows.val, hits) * vals[entry]
+        dots = np.bincount(place, weights=products, minlength=n * m)
+        squared = rows.squares[:, None] + norm - 2 * dots.reshape(n, m)
+        return np.sqrt(np.where(squared < 1e-13, 0.0, squared))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = shared.value[-1]
+        member = [np.eye(len(names))[codes] for names, codes in every]
+        edges = np.cumsum([0, *(m.shape[1] for m in member)])
+        member = np.concatenate(member, axis=1)
+        sizes = member.sum(axis=0)
+        for batch in batches:
+            n = batch.num_rows
+            rows = Rows.of_lists(batch.column(len(key)), batch.column(len(key) + 1))
+            labels = np.asarray(batch.column(len(key) + 2).flatten()).reshape(n, -1)
+            scores = np.zeros((n, len(every)))
+            ends = np.cumsum(rows.lengths)
+            for at in range(0, n, 64):
+                to = min(at + 64, n)
+                x, y = int(ends[at] - rows.lengths[at]), int(ends[to - 1])
+                sums = distances(Rows(rows.lengths[at:to], rows.idx[x:y], rows.val[x:y])) @ member
+                line = np.arange(to - at)
+                for j, (names, _) in enumerate(every):
+                    if len(names) < 2:
+                        continue
+                    size = sizes[edges[j] : edges[j + 1]]
+                    own = np.searchsorted(names, labels[at:to, j])
+                    mine = sums[:, edges[j] : edges[j + 1]]
+                    inside = mine[line, own] / np.maximum(size[own] - 1, 1)
+                    means = mine / size
+                    means[line, own] = np.inf
+                    outside = means.min(axis=1)
+                    top = np.maximum(inside, outside)
+                    fine = (size[own] > 1) & (top > 0)
+                    scores[at:to, j] = np.where(fine, (outside - inside) / np.where(fine, top, 1), 0.0)
+            offsets = pa.array(np.arange(n + 1) * len(every), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[: len(key)],
+                    batch.column(len(key) + 2),
+                    pa.ListArray.from_arrays(offsets, pa.array(scores.ravel())),
+                ],
+                [*key, "label", "silhouette"],
+            )
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sample.select(*key).schema)
+    spread = sample.select(*key, "_i", "_v", "_labels").repartition(sample.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(score, f"{fields}, label array<long>, silhouette array<double>")
+
 
 def silhouette(
     labelled: DataFrame,
@@ -55,68 +413,23 @@ def silhouette(
     row per input row, so no pair of rows leaves a task. ``sampled`` says that the rows are already
     such a sample.
     """
-    if isinstance(labelled.schema[col].dataType, VectorUDT):
-        vec = F.unwrap_udt(col)
-        dense = F.transform(vec["values"], lambda _, i: i)
-        parts = [F.coalesce(vec["indices"], dense).alias("_i"), vec["values"].alias("_v")]
-    else:
-        values = F.col(col).cast("array<double>")
-        parts = [F.transform(values, lambda _, i: i).alias("_i"), values.alias("_v")]
     picked = labelled.select(*key, label, col)
     if not sampled:
         picked = sample_n(picked, key, sample_size, seed)
-    sample = picked.select(*key, F.col(label).cast("long").alias("_label"), *parts)
-    rows = sample.select("_label", "_i", "_v").collect()  # at most sample_size rows
-    names, codes = np.unique(np.array([r["_label"] for r in rows], dtype=np.int64), return_inverse=True)
-    lengths = [len(r["_i"]) for r in rows]
-    entry_row = np.repeat(np.arange(len(rows)), lengths)
-    entry_col = np.array([i for r in rows for i in r["_i"]], dtype=np.int64)
-    entry_val = np.array([v for r in rows for v in r["_v"]], dtype=np.float64)
-    by_col = np.argsort(entry_col, kind="stable")
-    norms = np.bincount(entry_row, weights=entry_val**2, minlength=len(rows))
-    shared = labelled.sparkSession.sparkContext.broadcast(
-        (entry_col[by_col], entry_row[by_col], entry_val[by_col], norms, codes, names)
-    )
+    idx, val = _entries(picked, col)
+    sample = picked.select(*key, F.array(F.col(label).cast("long")).alias("_labels"), idx.alias("_i"), val.alias("_v"))
+    scored = _silhouettes(sample, key)
+    return scored.select(*key, F.col("label")[0].alias("label"), F.col("silhouette")[0].alias("silhouette"))
 
-    def distances(idx: list, val: list) -> np.ndarray:
-        """Of rows given by their non-zero entries to every row of the sample."""
-        cols, rows_of, vals, norm, code, _ = shared.value
-        flat_idx, flat_val = np.concatenate(idx).astype(np.int64), np.concatenate(val)
-        row = np.repeat(np.arange(len(idx)), [len(i) for i in idx])
-        lo, hi = np.searchsorted(cols, flat_idx, "left"), np.searchsorted(cols, flat_idx, "right")
-        hits = hi - lo
-        entry = np.repeat(lo - (np.cumsum(hits) - hits), hits) + np.arange(hits.sum())
-        place = np.repeat(row, hits) * len(code) + rows_of[entry]
-        products = np.repeat(flat_val, hits) * vals[entry]
-        dots = np.bincount(place, weights=products, minlength=len(idx) * len(code))
-        own = np.bincount(row, weights=flat_val**2, minlength=len(idx))
-        squared = own[:, None] + norm - 2 * dots.reshape(len(idx), len(code))
-        return np.sqrt(np.where(squared < 1e-13, 0.0, squared))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code, label_of = shared.value[-2:]
-        sizes = np.bincount(code, minlength=len(label_of))
-        member = np.zeros((len(code), len(label_of)))
-        member[np.arange(len(code)), code] = 1
-        for batch in batches:
-            scores = np.zeros(len(batch))
-            own = np.searchsorted(label_of, batch["_label"].to_numpy())
-            for at in range(0, len(batch) if len(label_of) > 1 else 0, 64):
-                part, mine = slice(at, at + 64), own[at : at + 64]
-                sums = distances(batch["_i"].tolist()[part], batch["_v"].tolist()[part]) @ member
-                rows = np.arange(len(mine))
-                inside = sums[rows, mine] / np.maximum(sizes[mine] - 1, 1)
-                means = sums / sizes
-                means[rows, mine] = np.inf
-                outside = means.min(axis=1)
-                top = np.maximum(inside, outside)
-                fine = (sizes[mine] > 1) & (top > 0)
-                scores[part] = np.where(fine, (outside - inside) / np.where(fine, top, 1), 0.0)
-            yield batch[list(key)].assign(label=batch["_label"], silhouette=scores)
+@dataclass(frozen=True)
+class Choice:
+    """The best k (none if every k gave one cluster), its score, all scores, and all clusterings."""
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sample.select(*key).schema)
-    spread = sample.repartition(labelled.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInPandas(score, f"{fields}, label long, silhouette double")
+    k: int | None
+    score: float
+    scores: dict[int, float | None]
+    models: dict[int, Clustering]
 
 
 def choose_k(
@@ -128,24 +441,28 @@ def choose_k(
     seed: int = 42,
     sample_size: int = 5000,
     max_iter: int = 300,
-) -> tuple[int | None, float, dict[int, KMeansModel]]:
-    """k with the highest mean silhouette (smaller k on ties); one-cluster results are skipped.
+) -> Choice:
+    """k with the highest mean silhouette (smaller k on ties); one-cluster results have no score.
 
-    Only the silhouette sample is labelled per k. The best model is returned so that it need not
-    be fitted again.
+    All k share the passes of their fits. The sample is labelled by all of them at once, and the
+    distances between its rows are taken once for all k. The clusterings are returned so that the
+    best need not be fitted again.
     """
+    ks = list(range(k_min, k_max + 1))
     sample = written(sample_n(features.select(*key, "features"), key, sample_size, seed))
-    best_k, best_score, models = None, -1.0, {}
-    for k in range(k_min, k_max + 1):
-        model = kmeans_best(features, k, n_init, seed, max_iter)
-        labelled = model.transform(sample)
-        if labelled.select("cluster_id").distinct().limit(2).count() < 2:
-            continue
-        scored = silhouette(labelled, key, sampled=True)
-        score = scored.agg(F.avg("silhouette").alias("s")).first()["s"]
-        if score > best_score:
-            best_k, best_score, models = k, score, {k: model}
-    return best_k, best_score, models
+    models = kmeans_all(features, ks, n_init, seed, max_iter)
+    idx, val = _entries(sample, "features")
+    labelled = with_clusters(sample, [models[k] for k in ks], "features", "_own").select(
+        *key, F.transform("_own", lambda c: c.cast("long")).alias("_labels"), idx.alias("_i"), val.alias("_v")
+    )
+    labelled = written(labelled, "labelled-sample")
+    several = labelled.agg(*[F.count_distinct(F.col("_labels")[j]) for j in range(len(ks))]).first()
+    scored = _silhouettes(labelled, key)
+    means = scored.agg(*[F.avg(F.col("silhouette")[j]) for j in range(len(ks))]).first()
+    scores = {k: means[j] if several[j] > 1 else None for j, k in enumerate(ks)}
+    found = {k: s for k, s in scores.items() if s is not None}
+    best = max(found, key=lambda k: (found[k], -k)) if found else None
+    return Choice(best, found.get(best, -1.0), scores, models)
 
 
 def cluster_sizes(assigned: DataFrame, cluster: str = "cluster_id") -> DataFrame:

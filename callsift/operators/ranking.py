@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from callsift.functions.text import _col
+from callsift.session import written
 
 SALTS = 256
 HASH_DIGITS = 4  # leading sha-256 hex digits that name a bucket: 65,536 buckets, in hash order
@@ -84,6 +85,28 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.join(F.broadcast(winners), list(order), "left_semi").orderBy(*order)
 
 
+def numbered(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFrame:
+    """Rows with their place, from 0, in ``order`` (column names); rows alike in it get neighbouring
+    places.
+
+    Rows are sorted by ranges and written once; a row's place is its place in its range plus the
+    rows of the ranges before, of which there are as many as shuffle partitions. No task sees more
+    than a range, and the driver sees nothing.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = written(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", 33)
+    ranges = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"), F.min("_at").alias("_first"))
+    before = F.sum("_c").over(Window.orderBy("_part")) - F.col("_c")
+    ranges = ranges.select("_part", "_first", before.alias("_before"))
+    return (
+        ordered.withColumn("_part", part)
+        .join(F.broadcast(ranges), "_part")  # a row per range
+        .withColumn(out, F.col("_before") + F.col("_at") - F.col("_first"))
+        .drop("_part", "_at", "_first", "_before")
+    )
+
+
 def _hash_key(key: Sequence[str], seed: int) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]), 256)
 

@@ -171,21 +171,21 @@ def discover_intents(
     if corpus.limit(MIN_CORPUS).count() < MIN_CORPUS:
         return None
     model = term_ops.fit_tfidf(corpus, "utterance", stops, min_df, max_df, max_features)
-    features = written(model.transform(corpus))
-    k, score, models = clu.choose_k(
-        features, utt.ORDER, k_min, k_max, n_init, seed, sample_size, max_iter
-    )
-    best = models.get(k) or clu.kmeans_best(features, clu.FALLBACK_K, n_init, seed, max_iter)
-    assigned = best.transform(features)
+    features = model.transform(corpus)
+    choice = clu.choose_k(features, utt.ORDER, k_min, k_max, n_init, seed, sample_size, max_iter)
+    best = choice.models.get(choice.k)
+    if best is None:
+        best = clu.kmeans_best(features, clu.FALLBACK_K, n_init, seed, max_iter)
+    assigned = written(best.transform(features), "assigned")
     top = term_ops.cluster_top_terms(assigned, model, 12)
     summary = written(clu.cluster_summary(assigned, top, utt.ORDER))  # one row per cluster
+    spark = refined.sparkSession
     return {
         "assigned": assigned.select(*utt.ORDER, "utterance", "cluster_id"),
         "clusters": summary,
         "suggestions": cat.suggest_names(summary),
-        "choice": refined.sparkSession.createDataFrame(
-            [(best.getK(), float(score))], "k int, silhouette double"
-        ),
+        "choice": spark.createDataFrame([(best.getK(), float(choice.score))], "k int, silhouette double"),
+        "scores": spark.createDataFrame(list(choice.scores.items()), "k int, silhouette double"),
     }
 
 

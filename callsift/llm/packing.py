@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,9 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 END_ID = 2
-CACHED = 700_000  # entries of a kind that a worker keeps before it starts anew
+CACHED_BYTES = 64 << 20  # of known words and chunks that a worker keeps
+ENTRY_BYTES = 240  # of one of them besides its characters and ids
 LONGEST_CACHED = 64
-SLICE = 4 << 20  # characters encoded at a time
+SLICE = 1 << 20  # bytes of text encoded at a time
 
 
 @dataclass(frozen=True)
@@ -51,9 +52,10 @@ class WordEncoder:
     """Ids of a word-end BPE tokenizer file, found once per distinct word.
 
     The tokenizer drops white space and never joins what it parts, so a text's ids are the ids of
-    its chunks between ASCII white space. Chunks of Latin letters are cut into words by the
-    tokenizer's own pattern, and new words are encoded together; any other chunk, and one that may
-    hold a special token (``<|...``), goes through the tokenizer as it is.
+    its chunks between ASCII white space. Chunks of ASCII letters, with a mark or without, are words
+    as they stand; other chunks of Latin letters are cut into words by the tokenizer's own pattern.
+    New words are encoded together; any other chunk, and one that may hold a special token
+    (``<|...``), goes through the tokenizer as it is.
     """
 
     PLAIN = regex.compile("[\x21-\x7e\xa1-įı-ſ]+")
@@ -78,65 +80,103 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.ends_word[i] = token.endswith("</w>")
             self.ends_sentence[i] = token.endswith((".</w>", "!</w>", "?</w>"))
-        self.of_word: dict[str, bytes] = {}
-        self.of_chunk: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+        self.marks = self._learn(list(".,;:"))
 
     def _words(self, chunk: str) -> list[str] | None:
         """The words of a chunk as the tokenizer parts it; None if it has to see the chunk itself."""
-        if chunk.isascii():
-            if chunk.isalpha():
-                return [chunk.lower()]
-            if chunk[-1] in ".,;:" and chunk[:-1].isalpha():
-                return [chunk[:-1].lower(), chunk[-1]]
         if "<|" in chunk or not self.PLAIN.fullmatch(chunk):
             return None
         return self.WORD.findall(chunk.lower())
 
-    def _learn(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk as little-endian 32-bit numbers."""
-        cut = [self._words(c) for c in chunks]
-        known = self.of_word
-        if len(known) > CACHED:
-            known.clear()
-        new = list({w for ws in cut if ws for w in ws if w not in known})
-        for at in range(0, len(new), 5000):
-            some = new[at : at + 5000]
-            ids = np.array(self.words.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word as little-endian 32-bit numbers."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(words), 5000):
+            some = words[at : at + 5000]
+            (coded,) = self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             assert len(ends) == len(some), "a word's last token alone ends a word"
             raw, first = ids.tobytes(), 0
             for w, end in zip(some, (4 * ends).tolist(), strict=True):
-                known[w] = raw[first:end]
+                out[w] = raw[first:end]
                 first = end
-        out = []
-        for c, ws in zip(chunks, cut, strict=True):
-            if ws is None:
-                ids = self.whole.encode(c, add_special_tokens=False).ids
-                out.append(np.array(ids, "<u4").tobytes())
+        return out
+
+    def _kept(self, names: list[str], make: Callable[[list[str]], dict[str, bytes]]) -> list[bytes]:
+        """The ids of each name, from what the worker keeps or by ``make``. What was asked since half
+        of the bytes were used up is kept, older names are forgotten."""
+        found = list(map(self.young.get, names))
+        lost = [k for k, ids in enumerate(found) if ids is None]
+        new = {}
+        for k in lost:
+            if (ids := self.old.get(names[k])) is None:
+                new[names[k]] = b""
             else:
-                out.append(b"".join([known[w] for w in ws]))
+                found[k] = new[names[k]] = ids
+        asked = [n for n, ids in new.items() if not ids and n not in self.old]
+        new.update(make(asked))
+        for k in lost:
+            found[k] = new[names[k]]
+        for n, ids in new.items():
+            if len(n) <= LONGEST_CACHED:
+                self.young[n] = ids
+                self.held += ENTRY_BYTES + len(n) + len(ids)
+        if self.held > CACHED_BYTES // 2:
+            self.old, self.young, self.held = self.young, {}, 0
+        return found
+
+    def _odd(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that are not plain words."""
+        cut = [self._words(c) for c in chunks]
+        names = list({w for ws in cut if ws for w in ws})
+        known = dict(zip(names, self._kept(names, self._learn), strict=True))
+        return {
+            c: np.array(self.whole.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+            if ws is None
+            else b"".join([known[w] for w in ws])
+            for c, ws in zip(chunks, cut, strict=True)
+        }
+
+    def _of_chunks(self, chunks: pa.Array) -> list[bytes]:
+        """The ids of distinct chunks. Plain words, also with a mark after them, are told apart for all
+        chunks at once; a plain word's ids do not depend on its case."""
+        size = len(chunks)
+        body = pc.utf8_rtrim(chunks, ".,;:")
+        marks = np.array(pc.utf8_length(chunks)) - np.array(pc.utf8_length(body))
+        plain = np.array(pc.and_(pc.string_is_ascii(body), pc.ascii_is_alpha(body))) & (marks <= 1)
+        out: list[bytes] = [b""] * size
+        at = np.flatnonzero(plain)
+        words = pc.ascii_lower(body.take(pa.array(at))).to_pylist()
+        distinct = list(dict.fromkeys(words))
+        ids = dict(zip(distinct, self._kept(distinct, self._learn), strict=True))
+        for k, w in zip(at.tolist(), words, strict=True):
+            out[k] = ids[w]
+        marked = np.flatnonzero(plain & (marks == 1))
+        for k, c in zip(marked.tolist(), chunks.take(pa.array(marked)).to_pylist(), strict=True):
+            out[k] += self.marks[c[-1]]
+        odd = np.flatnonzero(~plain & (np.array(pc.binary_length(chunks)) > 0))
+        for k, i in zip(odd.tolist(), self._kept(chunks.take(pa.array(odd)).to_pylist(), self._odd), strict=True):
+            out[k] = i
         return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         parts = pc.ascii_split_whitespace(texts)
         flat = parts.flatten().dictionary_encode()
-        chunks = flat.dictionary.to_pylist()
-        if len(self.of_chunk) > CACHED:
-            self.of_chunk.clear()
-            self.of_chunk[""] = b""
-        pool = list(map(self.of_chunk.get, chunks))
-        unknown = [k for k, ids in enumerate(pool) if ids is None]
-        for k, ids in zip(unknown, self._learn([chunks[k] for k in unknown]), strict=True):
-            pool[k] = ids
-            if len(chunks[k]) <= LONGEST_CACHED:
-                self.of_chunk[chunks[k]] = ids
+        pool = self._of_chunks(flat.dictionary)
+        all_ids = np.frombuffer(b"".join(pool), "<u4")
+        length = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
+        first = np.cumsum(length) - length
         at = flat.indices.to_numpy(zero_copy_only=False)
-        offsets = (parts.offsets.to_numpy() - parts.offsets[0].as_py()).tolist()
-        return [
-            np.frombuffer(b"".join(map(pool.__getitem__, at[a:b].tolist())), "<u4")
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True)
-        ]
+        here = length[at]
+        ends = np.cumsum(here)
+        ids = all_ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - ends + here, here)]
+        cuts = np.concatenate([[0], ends])[parts.offsets.to_numpy() - parts.offsets[0].as_py()].tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)

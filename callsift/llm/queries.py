@@ -91,7 +91,7 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = pieces.with_text(pieces.with_ids(docs, model), model)
+    coded = pieces.with_ids(docs, model, decoded="decoded")
     marked = F.regexp_replace("text", pieces.MARK, " ")
     return coded.select(
         "doc_id", F.size("ids").alias("n_pieces"), "ids", (F.col("decoded") == marked).alias("round_trip")

@@ -90,3 +90,49 @@ def test_round_trip_of_odd_texts(spark):
         assert r["decoded"] == (r["text"] or "").replace("▁", " ")
     assert pieces.with_ids(docs.limit(0), MODEL).count() == 0
     assert len(pieces.pieces_of(MODEL).encode([""])[0]) == 0
+
+
+def test_windows_and_few_long_words_give_the_same_ids(monkeypatch):
+    p = pieces.Pieces(MODEL)
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdetion shé日") for _ in range(90)).replace(" ", "") for _ in range(40)]
+    words = [w[:60] for w in words if len(w) >= 60]
+    whole = p.segment(words)
+    monkeypatch.setattr(pieces, "CELLS", 7 * len(words))
+    assert p.segment(words) == whole  # windows of seven places
+    monkeypatch.setattr(pieces, "CELLS", 7)
+    assert [p.segment([w])[0] for w in words] == whole  # each alone, by the pieces that are there
+
+
+def test_a_long_line_without_spaces_takes_bounded_memory():
+    import resource
+
+    p = pieces.Pieces(MODEL)
+    rng = random.Random(7)
+    line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789+/é") for _ in range(1000)) * 5000
+    p.encode(["warm up"])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    (ids,) = p.encode([line])
+    grown = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before
+    assert p.decode(ids) == line
+    assert grown < 500_000  # KB, for 5 million characters
+
+
+def test_known_words_are_bounded_in_bytes(monkeypatch):
+    p = pieces.Pieces(MODEL)
+    monkeypatch.setattr(pieces, "CACHED_BYTES", 20_000)
+    for k in range(50):
+        texts = [" ".join(f"w{k}x{j}" for j in range(50))]
+        assert p.decode(p.encode(texts)[0]) == texts[0]
+        assert len(p.known) < 250
+
+
+def test_ids_keep_other_columns_and_null_ids(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b", 5, [1, 2]), (2, None, None, None)], "doc_id long, text string, _source int, lists array<int>"
+    )
+    rows = {r["doc_id"]: r for r in pieces.with_ids(docs, MODEL, decoded="back").collect()}
+    assert rows[1]["_source"] == 5 and rows[1]["lists"] == [1, 2] and rows[1]["back"] == "a b"
+    assert rows[2]["ids"] == [] and rows[2]["back"] == "" and rows[2]["text"] is None
+    back = {r["doc_id"]: r["text"] for r in pieces.with_text(docs, MODEL, "lists", "text").collect()}
+    assert back[2] == "" and back[1] is not None

@@ -17,6 +17,9 @@ from callsift.functions.text import _col
 from callsift.session import written
 
 SALTS = 256
+HOT_COPIES = 100_000  # keys of more rows than that, and than rows / HOT_KEYS, meet them by a broadcast
+HOT_KEYS = 10_000
+RANGE_BITS = 10  # rows of one archive are counted by ranges of so many bits of their number
 HASH_DIGITS = 4  # leading sha-256 hex digits that name a bucket: 65,536 buckets, in hash order
 
 
@@ -67,22 +70,42 @@ def top_k_per_group(
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows by ``order`` (unique column names).
+    """First ``n`` rows by ``order`` (unique column names); the same way for any ``n``.
 
-    Only the narrow order columns are ranked; the at most ``n`` winners are broadcast back to pick
-    the wide rows where they lie, so wide rows never meet in one task before they are few.
+    ``df`` is evaluated once and written. Rows are counted by all of ``order`` but the last digits
+    of its last column, where that is a whole number; the range in which the n-th row lies is the
+    cut, a literal that the second read of the written table filters by. So about ``n`` rows, and a
+    range's, are put in order, and no row is joined.
     """
-    inner = Window.partitionBy("_salt").orderBy(*order)
-    winners = (
-        df.select(*order)
-        .withColumn("_salt", _task_salt(SALTS))
-        .withColumn("_pre", F.row_number().over(inner))
-        .where(F.col("_pre") <= n)
-        .select(*order)
-        .orderBy(*order)
-        .limit(n)
-    )
-    return df.join(F.broadcast(winners), list(order), "left_semi").orderBy(*order)
+    return first_written_rows(written(df, "first-rows"), order, n)
+
+
+def first_written_rows(rows: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """``first_rows`` of a table that is written already."""
+    if n < 1:
+        return rows.limit(0)
+    *lead, last = order
+    fine = rows.schema[last].dataType.typeName() in ("byte", "short", "integer", "long")
+    ranges = F.shiftright(last, RANGE_BITS) if fine else F.col(last)
+    counts = rows.groupBy(*lead, ranges.alias(last)).agg(F.count("*").alias("_c"))
+    first = counts.orderBy(*order).limit(n)  # each range has a row, so the n-th row is in these
+    before = F.sum("_c").over(Window.orderBy(*order)) - F.col("_c")
+    cut = first.withColumn("_before", before).where(F.col("_before") < n).orderBy(*[F.desc(c) for c in order]).first()
+    if cut is None:
+        return rows
+    place = [*lead, ranges]
+    return rows.where(_not_after(place, [cut[c] for c in order])).orderBy(*order).limit(n)
+
+
+def _not_after(cols: Sequence[Column | str], values: Sequence) -> Column:
+    """True where ``cols`` stand not after ``values``; null is first, as in a sort."""
+    col, value = _col(cols[0]), values[0]
+    if value is None:
+        before, same = F.lit(False), col.isNull()
+    else:
+        before, same = col.isNull() | (col < F.lit(value)), col == F.lit(value)
+    rest = _not_after(cols[1:], values[1:]) if len(cols) > 1 else F.lit(True)
+    return F.coalesce(before | (same & rest), F.lit(False))
 
 
 def numbered(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFrame:
@@ -94,16 +117,16 @@ def numbered(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFrame
     than a range, and the driver sees nothing.
     """
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = written(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftright("_at", 33)
-    ranges = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"), F.min("_at").alias("_first"))
-    before = F.sum("_c").over(Window.orderBy("_part")) - F.col("_c")
-    ranges = ranges.select("_part", "_first", before.alias("_before"))
+    ordered = written(ordered.withColumn("_place", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_place", 33)
+    ranges = ordered.groupBy(part.alias("_range")).agg(F.count("*").alias("_c"), F.min("_place").alias("_range_first"))
+    before = F.sum("_c").over(Window.orderBy("_range")) - F.col("_c")
+    ranges = ranges.select("_range", "_range_first", before.alias("_range_before"))
     return (
-        ordered.withColumn("_part", part)
-        .join(F.broadcast(ranges), "_part")  # a row per range
-        .withColumn(out, F.col("_before") + F.col("_at") - F.col("_first"))
-        .drop("_part", "_at", "_first", "_before")
+        ordered.withColumn("_range", part)
+        .join(F.broadcast(ranges), "_range")  # a row per range
+        .withColumn(out, F.col("_range_before") + F.col("_place") - F.col("_range_first"))
+        .drop("_range", "_place", "_range_first", "_range_before")
     )
 
 
@@ -172,33 +195,61 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train/dev): in each class the quota's smallest seeded hashes go to dev.
 
-    A class is never ranked as a whole. Its rows are spread over hash buckets; counts per (class,
-    bucket) say how many rows of the class come before a bucket, so a row's rank in its class is
-    that number plus its rank in the bucket. Rows are shuffled once, on (class, bucket), and a
-    class of any size is spread over 65,536 such keys.
+    Rows alike in label and key are one row with a count: copies meet nowhere. A class is never
+    ranked as a whole either. Its distinct keys are spread over hash buckets; counts per (class,
+    bucket) say how many rows come before a bucket, and the counts in a bucket how many come before
+    a key. That settles for each key how many of its rows go to dev: all, none, or, for one key of
+    a class at most, some; those are the first of its rows by their other columns. Rows are written
+    once and get their split by a join: keys of many copies, of which there are few, by a broadcast.
 
     ``strict`` fails on a class of one row, which cannot be on both sides.
     """
-    hashed = df.withColumn("_h", _hash_key(key, seed)).withColumn("_b", _bucket("_h"))
-    quota = dev_quota(df, label, share)
+    rows = written(df, "to-split")
+    quota = dev_quota(rows, label, share)
     if strict:
         alone = F.raise_error(F.concat(F.lit("class with one row: "), F.col(label))).cast("boolean")
         quota = quota.where(F.when(F.col("_n") < 2, alone).otherwise(True))  # a filter is never pruned
+    same = list(dict.fromkeys([label, *key]))
+    keys = rows.groupBy(*same).agg(F.count("*").alias("_c"))
+    keys = written(keys.withColumn("_h", _hash_key(key, seed)).withColumn("_b", _bucket("_h")), "split-keys")
     running = Window.partitionBy(label).orderBy("_b")
-    places = (
-        df.select(label, _bucket_of(key, seed).alias("_b"))
-        .groupBy(label, "_b")
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_before", F.sum("_c").over(running) - F.col("_c"))
-        .join(quota.select(label, "_quota"), label)
-        .select(label, "_b", "_before", "_quota")
-    )
-    in_bucket = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", *key))
-    is_dev = F.col("_before") + in_bucket <= F.col("_quota")
-    return hashed.join(places, [label, "_b"]).select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.when(is_dev, F.lit("dev")).otherwise(F.lit("train")).alias("split"),
+    buckets = (
+        keys.groupBy(label, "_b")
+        .agg(F.sum("_c").alias("_s"))
+        .withColumn("_before", F.sum("_s").over(running) - F.col("_s"))
+        .select(label, "_b", "_before")
     )
+    places = _meet(buckets, quota.select(label, "_quota"), [label])
+    in_bucket = F.sum("_c").over(Window.partitionBy(label, "_b").orderBy("_h", *same)) - F.col("_c")
+    left = F.col("_quota") - F.col("_before") - in_bucket
+    dealt = _meet(keys, places, [label, "_b"]).withColumn("_dev", F.greatest(F.lit(0), F.least(left, F.col("_c"))))
+    dealt = written(dealt.select(*same, "_c", "_dev"), "split-shares")
+
+    is_dev = F.when(F.col("_dev") == F.col("_c"), "dev").when(F.col("_dev") == 0, "train").alias("split")
+    settled = (F.col("_dev") == 0) | (F.col("_dev") == F.col("_c"))
+    several = F.col("_c") > max(HOT_COPIES, rows.count() // HOT_KEYS)  # so at most HOT_KEYS keys
+    few = dealt.where(settled & ~several).select(*same, is_dev)
+    many = dealt.where(settled & several).select(*same, is_dev)
+    split_up = dealt.where(~settled).select(*same, "_dev")  # one key a class at most
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    out = _meet(rows, few, same).select(*columns, "split")
+    if not many.isEmpty():
+        out = out.unionByName(_meet(rows, F.broadcast(many), same).select(*columns, "split"))
+    if not split_up.isEmpty():
+        others = [c for c in df.columns if c not in same]
+        part = numbered(_meet(rows, F.broadcast(split_up), same), [*same, *others], "_at")
+        first = part.groupBy(*same).agg(F.min("_at").alias("_first"))
+        chosen = F.when(F.col("_at") - F.col("_first") < F.col("_dev"), "dev").otherwise("train").alias("split")
+        out = out.unionByName(_meet(part, F.broadcast(first), same).select(*columns, chosen))
+    return out
+
+
+def _meet(rows: DataFrame, keys: DataFrame, same: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their key; null equals null."""
+    renamed = keys.select(*[F.col(c).alias(f"_k{n}") if c in same else c for n, c in enumerate(keys.columns)])
+    at = {c: f"_k{n}" for n, c in enumerate(keys.columns) if c in same}
+    equal = [F.col(f"`{c}`").eqNullSafe(F.col(at[c])) for c in same]
+    return rows.join(renamed, equal).drop(*at.values())
 
 
 def shortest_sentences(sentences: Column | str, k: int = 20) -> Column:

@@ -6,9 +6,11 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from callsift.functions import lexicons as lex
 from callsift.functions.text import SLOT_NAMES, _col, is_question, pair_key
+from callsift.session import written
 
 METADATA_COLUMNS = ("domain", "topic", "industry", "category", "accent", "language")
 TEXT_LIKE = r"text|transcript|dialog|utterance"
@@ -35,23 +37,60 @@ def _quantile(q: float) -> Column:
     return F.expr(f"percentile(value, {q}D, n)")
 
 
+def exact_quantiles(hist: DataFrame, wanted: Mapping[str, float]) -> DataFrame:
+    """``(measure, name...)`` of a table ``(measure, value, n)``: exact quantiles, linear between ranks.
+
+    Values are sorted by ranges and written; the counts of the ranges before, and those before a
+    value in its range, say which ranks a value covers, and the ranks asked for are picked out. So
+    columns of any number of different values are spread over tasks.
+    """
+    ordered = hist.repartitionByRange("measure", "value").withColumn("_part", F.spark_partition_id())
+    ordered = written(ordered, "by-value")
+    parts = ordered.groupBy("measure", "_part").agg(F.sum("n").alias("_c"))
+    whole = Window.partitionBy("measure")  # a row per range
+    before = F.sum("_c").over(whole.orderBy("_part")) - F.col("_c")
+    parts = parts.select("measure", "_part", before.alias("_before"), F.sum("_c").over(whole).alias("_total"))
+    in_part = F.sum("n").over(Window.partitionBy("measure", "_part").orderBy("value")) - F.col("n")
+    ranks = ordered.join(parts, ["measure", "_part"]).withColumn("_lo", F.col("_before") + in_part)
+
+    def at(rank: Column) -> Column:
+        here = (F.col("_lo") <= rank) & (rank < F.col("_lo") + F.col("n"))
+        return F.max(F.when(here, F.col("value").cast("double")))
+
+    places = {name: (F.col("_total") - 1) * F.lit(q) for name, q in wanted.items()}
+    ends = ranks.groupBy("measure").agg(
+        F.max("_total").alias("_total"),
+        *[at(F.floor(p)).alias(f"_{name}_lo") for name, p in places.items()],
+        *[at(F.ceil(p)).alias(f"_{name}_hi") for name, p in places.items()],
+    )
+    between = {name: p - F.floor(p) for name, p in places.items()}
+    return ends.select(
+        "measure",
+        *[
+            (F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * part).alias(name)
+            for name, part in between.items()
+        ],
+    )
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max per integer column."""
-    hist = _histogram(df, {c: F.col(c) for c in cols})
+    """count, mean, sample deviation, min, quartiles and max per integer column, ids included."""
+    hist = written(_histogram(df, {c: F.col(c) for c in cols}), "histogram")
     n, v = F.col("n").cast("double"), F.col("value").cast("double")
     total, s1, s2 = F.sum("n"), F.sum(n * v), F.sum(n * v * v)
-    return hist.groupBy("measure").agg(
+    moments = hist.groupBy("measure").agg(
         total.alias("count"),
         (s1 / total).alias("mean"),
         F.when(
             total > 1, F.sqrt(F.greatest(F.lit(0.0), (s2 - s1 * s1 / total) / (total - 1)))
         ).alias("std"),
         F.min("value").alias("min"),
-        _quantile(0.25).alias("p25"),
-        _quantile(0.5).alias("p50"),
-        _quantile(0.75).alias("p75"),
         F.max("value").alias("max"),
     )
+    quartiles = exact_quantiles(hist, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return moments.join(quartiles, "measure").select(
+        "measure", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    )
 
 
 def customer_text_rate(df: DataFrame) -> DataFrame:
@@ -244,6 +283,30 @@ def column_profile(df: DataFrame, metadata: Iterable[str] = METADATA_COLUMNS) ->
     return df.agg(*aggs).select(F.inline(rows))
 
 
+def distinct_values(df: DataFrame) -> DataFrame:
+    """``(column, distinct_values)``: different non-null values of each column, told apart by a digest,
+    so that long texts are not shuffled."""
+    values = [
+        F.struct(F.lit(c).alias("column"), F.unhex(F.sha2(F.col(f"`{c}`").cast("string"), 256)).alias("value"))
+        for c in df.columns
+    ]
+    found = df.select(F.inline(F.array(*values))).distinct()
+    return found.groupBy("column").agg(F.count("value").alias("distinct_values"))
+
+
+def text_preview(df: DataFrame, order: Sequence[str], width: int = 1000) -> DataFrame:
+    """``(column, text)``: the first row's text in the first column whose name looks like text, cut."""
+    import re
+
+    named = next((c for c in df.columns if re.search(TEXT_LIKE, c, re.I)), None)
+    if named is None:
+        return df.sparkSession.createDataFrame([], "column string, text string")
+    first = df.orderBy(*order).limit(1)
+    return first.select(
+        F.lit(named).alias("column"), F.substring(F.col(f"`{named}`").cast("string"), 1, width).alias("text")
+    )
+
+
 def preview_rows(df: DataFrame, order: Sequence[str], n: int = 3, width: int = 250) -> DataFrame:
     """First rows with every value as text cut at ``width``."""
     from callsift.operators.ranking import first_rows

@@ -28,8 +28,9 @@ from callsift.functions.text import (
     strip,
     truncate,
 )
-from callsift.operators.ranking import first_per_key, shortest_sentences, top_k_per_group
+from callsift.operators.ranking import first_per_key, numbered, shortest_sentences, top_k_per_group
 from callsift.operators.shaping import computed_once
+from callsift.session import written
 
 ORDER = ("source_zip", "ord", "pos")
 
@@ -327,8 +328,8 @@ def clean_rows(df: DataFrame) -> DataFrame:
 def pack(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """One row per intent: ``samples[]`` in order and the name of the first.
 
-    A pack holds whatever rows an intent has, so an intent is one row here; cap it before
-    (``cap_per_intent``) where that may be too many.
+    A pack holds whatever rows an intent has, so an intent is one row here; where that may be too
+    many, ``pack_parts`` cuts it into rows of bounded size.
     """
     place = F.struct(*order)
     return (
@@ -339,3 +340,32 @@ def pack(df: DataFrame, order: Sequence[str]) -> DataFrame:
         )
         .select("intent_id", "name", F.transform("_rows", lambda s: s["utterance"]).alias("samples"))
     )
+
+
+PART_SAMPLES = 10_000
+
+
+def pack_parts(df: DataFrame, order: Sequence[str], max_samples: int = PART_SAMPLES) -> DataFrame:
+    """Packs of bounded size: ``(intent_id, name, part, samples[])``, parts of an intent in order.
+
+    Rows get their place by ranges and prefix sums, so an intent of any size is spread over tasks,
+    and a row holds at most ``max_samples`` utterances. ``name`` is the one of the intent's first row.
+    """
+    placed = numbered(df.select("intent_id", "intent_name", "utterance", *order), ["intent_id", *order], "_at")
+    placed = written(placed, "placed")
+    first = placed.groupBy("intent_id").agg(
+        F.min("_at").alias("_first"), F.min_by("intent_name", "_at").alias("name")
+    )
+    parts = placed.join(first, "intent_id").withColumn(
+        "part", F.floor((F.col("_at") - F.col("_first")) / max_samples)
+    )
+    return (
+        parts.groupBy("intent_id", "part")
+        .agg(
+            F.first("name").alias("name"),
+            F.array_sort(F.collect_list(F.struct("_at", "utterance"))).alias("_rows"),
+        )
+        .select(
+            "intent_id", "name", "part", F.transform("_rows", lambda s: s["utterance"]).alias("samples")
+        )
+    )

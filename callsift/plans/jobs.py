@@ -6,14 +6,15 @@ no job overwrites what it reads. ``(source_zip, ord, pos)`` carries "first seen"
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.functions import lexicons as lex
 from callsift.functions.rules import Rules, dev_sample_predicate, exact_bucket
-from callsift.functions.text import has_word, prefer_customer, truncate
+from callsift.functions.text import prefer_customer, truncate
 from callsift.operators import calls as call_ops
 from callsift.operators import catalog as cat
 from callsift.operators import clusters as clu
@@ -21,10 +22,11 @@ from callsift.operators import reports as rep
 from callsift.operators import terms as term_ops
 from callsift.operators import utterances as utt
 from callsift.operators.classify import train_intent_classifier
-from callsift.operators.ranking import first_rows, sample_n, stratified_split
-from callsift.session import written
+from callsift.operators.ranking import first_rows, first_written_rows, sample_n, stratified_split
+from callsift.session import fresh_path, written
+from callsift.sources import sinks
 from callsift.sources.archives import scan_zip_json
-from callsift.sources.records import decode_json, raw_calls, raw_texts
+from callsift.sources.records import decode_json, decode_tagged, raw_calls, raw_texts, rejects_of
 
 # --- fixed values: sizes of the samples and limits the stages use --------------------------------
 
@@ -47,14 +49,49 @@ def read_raw(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
     return decode_json(scan_zip_json(spark, glob))
 
 
+@dataclass(frozen=True)
+class Parsed:
+    """What one reading of archives gives; ``counts`` has the members checked, good and rejected."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def parse_archives(
+    spark: SparkSession, glob: str, extract: Callable[..., DataFrame] = raw_calls
+) -> Parsed:
+    """Archives to the rows that ``extract`` makes of their records, the rejects, and counters.
+
+    Members are unzipped and parsed once: all go into one table, written with a folder for good ones
+    and one for rejects, and the counters are observed while it is written.
+    """
+    tagged = decode_tagged(scan_zip_json(spark, glob))
+    seen = Observation("members")
+    rows = extract(tagged, "reason", "error").observe(
+        seen, F.count("*").alias("checked"), F.count_if(F.col("reason").isNull()).alias("good")
+    )
+    status = F.when(F.col("reason").isNull(), "good").otherwise("reject")
+    path = fresh_path(spark, "parsed")
+    tagged_rows = rows.withColumn("status", status)
+    tagged_rows.write.partitionBy("status").parquet(path)
+    table = spark.read.schema(tagged_rows.schema).parquet(path)
+    good = table.where("status = 'good'").drop("status", "reason", "error")
+    rejects = rejects_of(table.where("status = 'reject'"), ("source_zip", "path", "ord", "file_name", "error"))
+    counts = dict(seen.get)
+    return Parsed(good, rejects, counts | {"rejected": counts["checked"] - counts["good"]})
+
+
 def profile_source(
     df: DataFrame, order: Sequence[str], metadata: Iterable[str] = rep.METADATA_COLUMNS
 ) -> dict[str, DataFrame]:
-    """Column profile, first rows, and the 15 most common values of each metadata column."""
+    """Column profile, first rows, the first text, and the 15 most common values of each metadata column."""
     present = [c for c in metadata if c in df.columns]
     return {
         "columns": rep.column_profile(df, metadata),
         "preview": rep.preview_rows(df, order),
+        "distinct": rep.distinct_values(df),
+        "text_preview": rep.text_preview(df, order),
         **{f"top_{c}": rep.top_values(df, c, 15) for c in present if c not in ("accent", "language")},
     }
 
@@ -64,21 +101,54 @@ def dev_sample(texts: DataFrame, n: int = DEV_ROWS, **rules) -> DataFrame:
     kept = texts.where(F.col("text") != "").where(
         dev_sample_predicate("text", "domain", "topic", **rules)
     )
-    return first_rows(kept, call_order(kept), n).withColumn("text", truncate("text", SAMPLE_CHARS))
+    return first_rows(kept.withColumn("text", truncate("text", SAMPLE_CHARS)), call_order(kept), n)
+
+
+def dev_sample_outputs(texts: DataFrame, n: int = DEV_ROWS, **rules) -> dict[str, DataFrame]:
+    """The sample, written once, and its ten most common domains and topics."""
+    sample = written(dev_sample(texts, n, **rules), "dev-sample")  # n rows
+    return {
+        "sample": sample,
+        "top_domain": rep.top_values(sample, "domain", 10),
+        "top_topic": rep.top_values(sample, "topic", 10),
+    }
 
 
 def extract_bucket(
     texts: DataFrame, label: str = lex.BUCKET_LABEL, n: int = BUCKET_ROWS
 ) -> DataFrame:
     """First ``n`` records of one exact bucket, with their text cut."""
-    kept = texts.where(exact_bucket("domain", "topic", "file_name", label)).where(
-        F.col("text") != ""
-    )
-    return (
-        first_rows(kept, call_order(kept), n)
-        .withColumn("text", truncate("text", SAMPLE_CHARS))
-        .withColumnRenamed("file_name", "source_file")
+    return extract_bucket_outputs(texts, label, n)["rows"]
+
+
+def extract_bucket_outputs(
+    texts: DataFrame, label: str = lex.BUCKET_LABEL, n: int = BUCKET_ROWS
+) -> dict[str, DataFrame]:
+    """The bucket's first rows, a preview and raw samples of them, what was kept and skipped, and the
+    five most common domains and topics.
+
+    The bucket is written once. Records without text are skipped; counted are those that stand
+    before the last row kept, or all where there are fewer than ``n`` rows.
+    """
+    order = call_order(texts)
+    bucket = texts.where(exact_bucket("domain", "topic", "file_name", label))
+    bucket = written(bucket.withColumn("text", truncate("text", sinks.RAW_SAMPLE_CHARS)), "bucket")
+    found = written(first_written_rows(bucket.where(F.col("text") != ""), order, n), "bucket-rows")  # n rows
+    rows = found.withColumn("text", truncate("text", SAMPLE_CHARS)).withColumnRenamed("file_name", "source_file")
+    place = F.struct(*order)
+    end = found.agg(F.count("*").alias("kept"), F.max(place).alias("last"))
+    empty = bucket.where(F.coalesce(F.col("text") == "", F.lit(True))).select(place.alias("place"))
+    counters = empty.join(F.broadcast(end)).agg(  # one row
+        F.count_if((F.col("kept") < n) | (F.col("place") < F.col("last"))).alias("skipped")
     )
+    return {
+        "rows": rows,
+        "preview": rows.orderBy(*order).limit(sinks.PREVIEW_ROWS),
+        "samples": sinks.raw_samples(found, order),
+        "counters": end.select("kept").join(F.broadcast(counters)),
+        "top_domain": rep.top_values(rows, "domain", 5),
+        "top_topic": rep.top_values(rows, "topic", 5),
+    }
 
 
 def build_subset(
@@ -92,26 +162,36 @@ def build_subset(
     return call_ops.first_by_hash(call_ops.keyword_calls(texts, keywords), call_order(texts))
 
 
+def build_subset_outputs(
+    calls: DataFrame,
+    keywords: Iterable[str] = lex.BUILD_KEYWORDS,
+    customer: Iterable[str] = lex.CUSTOMER_ALIASES,
+    agent: Iterable[str] = lex.AGENT_ALIASES,
+) -> dict[str, DataFrame]:
+    """The domain's calls, a sample of them, the counters, and the ten archives with most calls.
+
+    Texts are made and tested once: the calls with a domain word are written, and the records are
+    counted while that happens.
+    """
+    seen = Observation("records")
+    texts = call_ops.with_call_texts(calls.observe(seen, F.count("*").alias("checked")), customer, agent)
+    matched = written(call_ops.keyword_calls(texts, keywords), "matched")
+    kept = written(call_ops.first_by_hash(matched, call_order(matched)), "calls")
+    checked = F.lit(seen.get["checked"]).cast("long").alias("checked")
+    counters = matched.agg(F.count("*").alias("matched")).join(F.broadcast(kept.agg(F.count("*").alias("kept"))))
+    return {
+        "calls": kept,
+        "sample": call_sample(kept),
+        "counters": counters.select(checked, "matched", "kept"),
+        "top_archives": rep.top_values(kept, "source_zip", 10),
+    }
+
+
 def subset_counters(
     calls: DataFrame, keywords: Iterable[str] = lex.BUILD_KEYWORDS, **aliases
 ) -> DataFrame:
     """Records checked, records that pass the keyword filter, and distinct calls kept."""
-    turns = call_ops.mark_speakers("turns", **aliases)
-    texts = calls.select(turns.alias("turns")).select(
-        call_ops.role_text("turns", True).alias("c"), call_ops.full_text("turns").alias("f")
-    )
-    preferred = prefer_customer("c", "f")
-    hit = F.coalesce((F.col("f") != "") & has_word(preferred, keywords), F.lit(False))
-    per_hash = (
-        texts.select(hit.alias("hit"), F.when(hit, F.sha2(preferred, 256)).alias("hash"))
-        .groupBy("hit", "hash")
-        .agg(F.count("*").alias("n"))
-    )
-    return per_hash.agg(
-        F.sum("n").alias("checked"),
-        F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)).alias("matched"),
-        F.sum(F.col("hit").cast("long")).alias("kept"),
-    )
+    return build_subset_outputs(calls, keywords, **aliases)["counters"]
 
 
 def call_sample(calls: DataFrame, n: int = CALL_SAMPLE, seed: int = 42) -> DataFrame:
@@ -291,13 +371,12 @@ def baseline_classifier(splits: DataFrame, **options) -> dict[str, DataFrame]:
 
 
 def subset_from_archives(spark: SparkSession, glob: str, **rules) -> tuple[DataFrame, DataFrame]:
-    """(domain calls, rejects) straight from archives, as one lazy plan."""
-    good, rejects = read_raw(spark, glob)
-    return build_subset(raw_calls(good), **rules), rejects
+    """(domain calls, rejects) straight from archives, which are read once."""
+    parsed = parse_archives(spark, glob)
+    return build_subset(parsed.rows, **rules), parsed.rejects
 
 
 def texts_from_archives(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
-    good, rejects = read_raw(spark, glob)
-    return raw_texts(good), rejects
-
-
+    """(records with their plain text, rejects); the archives are read once."""
+    parsed = parse_archives(spark, glob, raw_texts)
+    return parsed.rows, parsed.rejects

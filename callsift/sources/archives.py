@@ -1,21 +1,27 @@
 """Zip archives of JSON records as a splittable source.
 
-An archive is first listed (its central directory only) and cut into runs of members of about
-``chunk_bytes`` compressed bytes; each run is then read by its own task, with random access. So one
-archive that holds a large share of the data is still read by many tasks.
+An archive is first listed (its central directory only, once) and cut into runs of members of about
+``chunk_bytes`` compressed bytes; a run carries where its members lie, and is then read by its own
+task, with random access and without the directory. So one archive that holds a large share of the
+data is still read by many tasks, and its directory by one.
 """
 
 from __future__ import annotations
 
+import bz2
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 64 << 20
+RUN_MEMBERS = 20_000  # of a run at most, as a run carries a row for each
 BATCH_CHARS = 8 << 20
 MEMBER_SCHEMA = "source_zip string, path string, ord long, file_name string, raw string, error string"
 
@@ -58,65 +64,103 @@ def _base_name(path: str) -> str:
     return unquote(path.rstrip("/").rsplit("/", 1)[-1])
 
 
+RUN_SCHEMA = (
+    "path string, lo long, error string, members array<struct<ord: long, file_name: string, "
+    "offset: long, packed: long, size: long, method: int, crc: long>>"
+)
+
+
 def _runs(chunk_bytes: int):
-    def list_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = to_arrow_schema(StructType.fromDDL(RUN_SCHEMA))
+
+    def list_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch["path"]:
-                out, first, size = [], None, 0
+            for path in batch.column(0).to_pylist():
                 try:
                     with _open(path) as handle:
                         infos = _members(handle)
                 except zipfile.BadZipFile as problem:  # a broken archive becomes one reject row
-                    yield pd.DataFrame(
-                        {"path": [path], "lo": [-1], "hi": [-1], "error": [repr(problem)[:500]]}
-                    )
+                    row = {"path": path, "lo": -1, "error": repr(problem)[:500], "members": []}
+                    yield pa.RecordBatch.from_pylist([row], schema)
                     continue
+                run, size = [], 0
                 for n, info in enumerate(infos):
-                    first = n if first is None else first
                     size += info.compress_size
-                    if size >= chunk_bytes or n == len(infos) - 1:
-                        out.append((path, first, n, None))
-                        first, size = None, 0
-                if out:
-                    yield pd.DataFrame(out, columns=["path", "lo", "hi", "error"])
+                    if info.filename.endswith(".json"):
+                        encrypted = -1 if info.flag_bits & 1 else info.compress_type
+                        run.append(
+                            {
+                                "ord": n, "file_name": info.filename, "offset": info.header_offset,
+                                "packed": info.compress_size, "size": info.file_size, "method": encrypted,
+                                "crc": info.CRC,
+                            }
+                        )
+                    if run and (size >= chunk_bytes or len(run) >= RUN_MEMBERS or n == len(infos) - 1):
+                        row = {"path": path, "lo": run[0]["ord"], "error": None, "members": run}
+                        yield pa.RecordBatch.from_pylist([row], schema)
+                        run, size = [], 0
 
     return list_runs
 
 
-def _read_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["source_zip", "path", "ord", "file_name", "raw", "error"]
-    held_path, handle, archive, infos = None, None, None, []
-    for batch in batches:
-        rows, held = [], 0
-        for run in batch.sort_values(["path", "lo"]).itertuples(index=False):
-            name = _base_name(run.path)
-            if run.lo < 0:
-                rows.append((name, run.path, -1, None, None, run.error))
-                continue
-            if run.path != held_path:
-                if handle is not None:
-                    archive.close()
-                    handle.close()
-                handle = _open(run.path)
-                archive = zipfile.ZipFile(handle)
-                infos, held_path = archive.infolist(), run.path
-            for n in range(run.lo, run.hi + 1):
-                member = infos[n].filename
-                if not member.endswith(".json"):
-                    continue
-                raw = error = None
-                try:
-                    # bytes that are not UTF-8 are dropped, as the lenient second parse does
-                    raw = archive.read(infos[n]).decode("utf-8", "ignore")
-                    held += len(raw)
-                except Exception as problem:
-                    error = repr(problem)[:500]
-                rows.append((name, run.path, n, member, raw, error))
-                if held >= BATCH_CHARS:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows, held = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
+def _read_member(handle, member: dict) -> bytes:
+    """A member's bytes by its place in the archive; its own header tells where they begin."""
+    handle.seek(member["offset"])
+    header = handle.read(30)
+    if len(header) < 30 or header[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("no header of a member where the directory puts one")
+    names = int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
+    handle.seek(member["offset"] + 30 + names)
+    packed = handle.read(member["packed"])
+    if member["method"] == zipfile.ZIP_STORED:
+        raw = packed
+    elif member["method"] == zipfile.ZIP_DEFLATED:
+        raw = zlib.decompress(packed, -15)
+    elif member["method"] == zipfile.ZIP_BZIP2:
+        raw = bz2.decompress(packed)
+    else:
+        raise NotImplementedError(f"compression or encryption of kind {member['method']}")
+    if zlib.crc32(raw) != member["crc"] or len(raw) != member["size"]:
+        raise zipfile.BadZipFile(f"bad checksum of {member['file_name']}")
+    return raw
+
+
+def _read_runs():
+    schema = to_arrow_schema(StructType.fromDDL(MEMBER_SCHEMA))
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_path, handle = None, None
+        for batch in batches:
+            for run in batch.to_pylist():
+                name, rows, held = _base_name(run["path"]), [], 0
+                if run["lo"] < 0:
+                    rows.append((name, run["path"], -1, None, None, run["error"]))
+                elif run["path"] != held_path:
+                    if handle is not None:
+                        handle.close()
+                    handle, held_path = _open(run["path"]), run["path"]
+                for member in run["members"]:
+                    raw = error = None
+                    try:
+                        # bytes that are not UTF-8 are dropped, as the lenient second parse does
+                        raw = _read_member(handle, member).decode("utf-8", "ignore")
+                        held += len(raw)
+                    except Exception as problem:
+                        error = repr(problem)[:500]
+                    rows.append((name, run["path"], member["ord"], member["file_name"], raw, error))
+                    if held >= BATCH_CHARS:
+                        yield made(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield made(rows)
+        if handle is not None:
+            handle.close()
+
+    return read
 
 
 def scan_zip_json(spark: SparkSession, glob: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -129,7 +173,5 @@ def scan_zip_json(spark: SparkSession, glob: str, chunk_bytes: int = CHUNK_BYTES
     archives = spark.read.format("binaryFile").load(glob).select("path", "length")
     total = archives.agg(F.sum("length")).first()[0] or 0  # from the file listing
     tasks = max(spark.sparkContext.defaultParallelism, total // chunk_bytes + 1)
-    runs = archives.select("path").mapInPandas(
-        _runs(chunk_bytes), "path string, lo long, hi long, error string"
-    )
-    return runs.repartition(int(tasks), "path", "lo").mapInPandas(_read_runs, MEMBER_SCHEMA)
+    runs = archives.select("path").mapInArrow(_runs(chunk_bytes), RUN_SCHEMA)
+    return runs.repartition(int(tasks), "path", "lo").mapInArrow(_read_runs(), MEMBER_SCHEMA)

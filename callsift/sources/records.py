@@ -23,8 +23,9 @@ TEXT_KEYS = ("text", "utterance", "content")
 LOOSE_TEXT_LENGTHS = (5, 20_000)
 
 
-def decode_json(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)``. Good rows have ``rec``, a map of top-level key to variant.
+def decode_tagged(members: DataFrame) -> DataFrame:
+    """Every member with ``rec``, a map of top-level key to variant, and ``reason``: null for a good
+    record, else why it is rejected.
 
     Rejected: unreadable members, broken JSON, anything that is not a non-empty object. The map
     keeps document order, and repeated keys, of which the last one counts.
@@ -41,15 +42,21 @@ def decode_json(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.array(whole), lambda a: F.when((F.size(a) == 2) & closed(a), F.get(a, F.lit(0)))
     )
     parsed = computed_once(members, {"rec": F.get(F.when(is_object, only), F.lit(0))})
-    ok = F.col("rec").isNotNull() & (F.size("rec") > 0)
-    good = parsed.where(F.coalesce(ok, F.lit(False)))
-    rejects = parsed.where(~F.coalesce(ok, F.lit(False))).select(
-        *[c for c in members.columns if c != "raw"],
-        F.coalesce(*([F.col("error")] if "error" in members.columns else []), F.lit("bad json")).alias(
-            "reason"
-        ),
-    )
-    return good, rejects
+    ok = F.coalesce(F.col("rec").isNotNull() & (F.size("rec") > 0), F.lit(False))
+    why = F.coalesce(*([F.col("error")] if "error" in members.columns else []), F.lit("bad json"))
+    return parsed.withColumn("reason", F.when(~ok, why))
+
+
+def decode_json(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` as ``decode_tagged`` tells them apart, as two lazy tables."""
+    tagged = decode_tagged(members)
+    good = tagged.where(F.col("reason").isNull()).drop("reason")
+    return good, rejects_of(tagged, members.columns)
+
+
+def rejects_of(tagged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    rejected = tagged.where(F.col("reason").isNotNull())
+    return rejected.select(*[c for c in columns if c in tagged.columns and c != "raw"], "reason")
 
 
 def field(rec: Column | str, key: str) -> Column:
@@ -199,11 +206,12 @@ def _place(df: DataFrame) -> list[str]:
     return [c for c in ("source_zip", "path", "ord") if c in df.columns]
 
 
-def raw_calls(good: DataFrame) -> DataFrame:
+def raw_calls(good: DataFrame, *kept: str) -> DataFrame:
     """Decoded records to ``(source_zip, path, ord, file_name, domain, topic, turns)``; the
-    path only where the records have one."""
+    path only where the records have one. ``kept`` names further columns to keep."""
     return extract_turns(with_fields(good)).select(
         *_place(good),
+        *kept,
         "file_name",
         first_field(DOMAIN_KEYS).alias("domain"),
         first_field(TOPIC_KEYS).alias("topic"),
@@ -211,11 +219,12 @@ def raw_calls(good: DataFrame) -> DataFrame:
     )
 
 
-def raw_texts(good: DataFrame) -> DataFrame:
+def raw_texts(good: DataFrame, *kept: str) -> DataFrame:
     """Decoded records to ``(source_zip, path, ord, file_name, domain, topic, text)``; the
-    path only where the records have one."""
+    path only where the records have one. ``kept`` names further columns to keep."""
     return extract_plain_text(with_fields(good)).select(
         *_place(good),
+        *kept,
         "file_name",
         first_field(DOMAIN_KEYS).alias("domain"),
         first_field(TOPIC_KEYS).alias("topic"),

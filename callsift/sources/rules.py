@@ -1,10 +1,12 @@
 """Rule files: speaker aliases, keyword lists and override tables (YAML or JSON).
 
-Rule files are hand-kept and small; they are read on the driver like any job configuration.
+Rule files are hand-kept and small. Spark reads them, from any file system, and their size is checked
+before they become literals of a plan.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from typing import Any
 
@@ -12,10 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from callsift.operators.catalog import OVERRIDE_SCHEMA
 
+MAX_RULE_BYTES = 4 << 20
+
+
+def rule_text(path: str) -> str:
+    """The text of a rule file on any file system that Spark reads; a folder holds one file. Rules come
+    to the driver and go out in plans, so a file above ``MAX_RULE_BYTES`` is an error."""
+    spark = SparkSession.active()
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()  # the listing
+    if len(files) != 1:
+        raise ValueError(f"{len(files)} files at {path}, one rule file expected")
+    if files[0]["length"] > MAX_RULE_BYTES:
+        raise ValueError(f"{files[0]['length']} bytes of rules at {path}; at most {MAX_RULE_BYTES} are allowed")
+    row = spark.read.text(path, wholetext=True).first()
+    return row["value"] if row else ""
+
 
 def load_rule_file(path: str) -> Any:
-    with open(path, encoding="utf-8") as handle:
-        text = handle.read()
+    text = rule_text(path)
     if path.endswith((".yaml", ".yml")):
         try:
             import yaml
@@ -25,6 +41,11 @@ def load_rule_file(path: str) -> Any:
     return json.loads(text)
 
 
+def rule_version(path: str) -> str:
+    """A digest of the rule file, to be kept with what was made by it."""
+    return hashlib.sha256(rule_text(path).encode()).hexdigest()
+
+
 def load_aliases(path: str) -> tuple[list[str], list[str]]:
     """(customer, agent) aliases, lower-cased."""
     loaded = load_rule_file(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callsift.functions.text import truncate
 from callsift.operators.ranking import first_rows
+from callsift.session import written
 
 # --- fixed values: sizes of the preview sink ----------------------------------------------------
 
@@ -43,6 +44,16 @@ def write_pack(packs: DataFrame, path: str, mode: str = "error") -> None:
     write_jsonl(packs, path, mode)
 
 
+def write_pack_parts(parts: DataFrame, path: str, mode: str = "error") -> None:
+    """``packs/`` holds one JSON object per part, ``manifest/`` the parts and samples of each intent."""
+    write_jsonl(parts, f"{path}/packs", mode)
+    sizes = parts.sparkSession.read.schema(parts.schema).json(f"{path}/packs")
+    manifest = sizes.groupBy("intent_id").agg(
+        F.count("*").alias("parts"), F.sum(F.size("samples")).alias("samples")
+    )
+    write_jsonl(manifest, f"{path}/manifest", mode)
+
+
 def preview(df: DataFrame, order: Sequence[str], n: int = PREVIEW_ROWS) -> DataFrame:
     return first_rows(df, order, n)
 
@@ -54,7 +65,7 @@ def raw_samples(
     stem = F.regexp_replace(
         F.regexp_extract(F.col(name), r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", ""
     )
-    top = first_rows(df, order, RAW_SAMPLES)
+    top = df.orderBy(*order).limit(RAW_SAMPLES)
     from pyspark.sql.window import Window
 
     place = F.row_number().over(Window.orderBy(*order))  # at most RAW_SAMPLES rows
@@ -68,8 +79,10 @@ def raw_samples(
 
 
 def write_preview(df: DataFrame, order: Sequence[str], path: str, mode: str = "error") -> None:
-    """``preview/`` holds the first rows as CSV, ``samples/`` one text file per raw sample."""
-    write_csv(preview(df, order), f"{path}/preview", mode)
-    raw_samples(df, order).repartition("sample").write.mode(mode).partitionBy("sample").text(
+    """``preview/`` holds the first rows as CSV, ``samples/`` one text file per raw sample. The first
+    rows are found once, in one evaluation of ``df``."""
+    top = written(preview(df, order), "preview")  # PREVIEW_ROWS rows, more than there are samples
+    write_csv(top, f"{path}/preview", mode)
+    raw_samples(top, order).repartition("sample").write.mode(mode).partitionBy("sample").text(
         f"{path}/samples"
     )

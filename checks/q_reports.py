@@ -134,6 +134,16 @@ def _(spark, sf):
     )
 
 
+@query(
+    "describe_ids",
+    """SELECT 'vec_id' AS measure, count(vec_id) AS count, avg(vec_id) AS mean, stddev_samp(vec_id) AS std,
+       min(vec_id) AS min, quantile_cont(vec_id, 0.25) AS p25, quantile_cont(vec_id, 0.5) AS p50,
+       quantile_cont(vec_id, 0.75) AS p75, max(vec_id) AS max FROM embeddings""",
+)
+def _(spark, sf):
+    return rep.describe(v.table(spark, sf, "embeddings"), ["vec_id"])
+
+
 @query(
     "preview_rows",
     """SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role,

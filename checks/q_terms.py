@@ -9,6 +9,7 @@ from callsift.functions import text
 from callsift.operators import clusters as clu
 from callsift.operators import terms as ops
 from callsift.operators.ranking import top_k_per_group
+from callsift.session import written
 from checks import sql as q
 from checks import views as v
 from checks.registry import query
@@ -197,23 +198,51 @@ def _(spark, sf):
     return scored.withColumn("silhouette", F.round("silhouette", 5))
 
 
-@query("kmeans")
-def _(spark, sf):
+def vectors(spark, sf):
     from pyspark.ml.functions import array_to_vector
 
-    rows = v.table(spark, sf, "embeddings").select(
-        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    return v.table(spark, sf, "embeddings").select(
+        "vec_id", "embedding", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
-    model = clu.kmeans_best(rows, k=10, n_init=3, max_iter=10)
-    return model.transform(rows).select("vec_id", "cluster_id")
 
 
-@query("choose_k")
-def _(spark, sf):
-    from pyspark.ml.functions import array_to_vector
+def distances(embedding, model):
+    """Squared distances to all centres, by Spark's own functions."""
+    values = F.col(embedding).cast("array<double>")
+
+    def to(centre):
+        gaps = F.zip_with(values, F.array(*map(F.lit, centre)), lambda x, y: (x - y) * (x - y))
+        return F.aggregate(gaps, F.lit(0.0), lambda a, x: a + x)
 
-    rows = v.table(spark, sf, "embeddings").select(
-        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    return F.array(*[to(c) for c in model.centres.tolist()])
+
+
+# Which clusters are found depends on the starts; what must hold of any result is compared: every row is with
+# its nearest centre, and no centre is off the mean of its rows.
+@query("kmeans", "SELECT vec_id, true AS is_nearest, true AS centre_is_mean FROM embeddings")
+def _(spark, sf):
+    model = clu.kmeans_best(vectors(spark, sf), k=10)
+    rows = written(model.transform(vectors(spark, sf)).withColumn("far", distances("embedding", model)))
+    places = rows.select("cluster_id", F.posexplode(F.col("embedding").cast("array<double>")))
+    means = places.groupBy("cluster_id", "pos").agg(F.avg("col").alias("mean"))
+    centre = F.array(*[F.array(*map(F.lit, c)) for c in model.centres.tolist()])
+    off = means.groupBy("cluster_id").agg(
+        F.sum(F.pow(F.col("mean") - centre[F.col("cluster_id")][F.col("pos")], 2)).alias("off")
     )
-    k, score, _models = clu.choose_k(rows, ["vec_id"], 8, 12, n_init=1, max_iter=10)
-    return spark.createDataFrame([(k, score)], "k int, silhouette double")
+    return rows.join(off, "cluster_id").select(
+        "vec_id",
+        (F.col("far")[F.col("cluster_id")] <= F.array_min("far") + 1e-9).alias("is_nearest"),
+        (F.col("off") <= 1e-8).alias("centre_is_mean"),  # the tolerance, squared
+    )
+
+
+@query(
+    "choose_k",
+    """SELECT k::INT AS k, true AS is_scored, true AS is_beaten, 1::BIGINT AS n_chosen FROM range(10, 29) AS t(k)""",
+)
+def _(spark, sf):
+    found = clu.choose_k(vectors(spark, sf), ["vec_id"])
+    rows = [(k, s is not None and -1 <= s <= 1, s <= found.scores[found.k], k == found.k) for k, s in found.scores.items()]
+    table = spark.createDataFrame(rows, "k int, is_scored boolean, is_beaten boolean, chosen boolean")
+    n = table.agg(F.count_if("chosen").alias("n_chosen"))
+    return table.drop("chosen").crossJoin(n)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.functions.rules import seed_match
 from callsift.functions.text import sentences
 from callsift.operators.calls import turns_by_call
 from callsift.sources.tables import read_parquet
+from checks import sql as q
 
 DOMAIN_WORDS = ("that", "with", "from")
 UNWANTED_WORDS = ("worthless", "thth")
@@ -42,8 +45,15 @@ FIRST_PERSON = ("he", "was", "la")
 DOMAIN_TERMS = ("that", "ist", "pour")
 
 
+# A session may set into how many partitions the given tables are dealt: as files of one row group
+# they would else be read by one task. Unset, as on a cluster, tables are read as they lie.
+READ_PARTITIONS = "callsift.checks.readPartitions"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf}/{name}.parquet")
+    rows = read_parquet(spark, f"{sf}/{name}.parquet")
+    parts = spark.conf.get(READ_PARTITIONS, None)
+    return rows.repartition(int(parts)) if parts else rows
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,9 +131,16 @@ def utterances(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("source_zip", "ord", "pos", "intent_id", marked.alias("utterance"))
 
 
+def part(shares: Sequence[str]) -> Column:
+    """A share of the rows by a hash of their place, as ``checks.sql.part``; the others play the other side."""
+    place = F.concat_ws("|", "source_zip", F.col("ord").cast("string"), F.col("pos").cast("string"))
+    return F.substring(F.sha2(place, 256), 1, len(shares[0])).isin(*shares)
+
+
 def base_utterances(spark: SparkSession, sf: str) -> DataFrame:
-    """A share of the labelled utterances as existing rows, and names for most intents."""
-    u = utterances(spark, sf).where((F.col("ord") % 10 == 3) & (F.col("pos") < 4))
+    """A share of the labelled utterances, from all documents and places, as existing rows, and names
+    for most intents."""
+    u = utterances(spark, sf).where(part(q.BASE_SHARE))
     return u.select(
         "intent_id",
         F.concat(F.lit("name_"), "intent_id").alias("intent_name"),

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from callsift.operators import ranking
 from callsift.operators import ranking as rk
 
 
@@ -96,3 +97,63 @@ def test_shortest_sentences(spark):
     df = spark.createDataFrame([(0, sents), (1, sents[:20])], "i int, s array<string>")
     got = [r[0] for r in df.orderBy("i").select(rk.shortest_sentences("s", 20)).collect()]
     assert got == [sorted(sents, key=len)[:20], sents[:20]]
+
+
+def scans(df):
+    """Files that the result's plan reads."""
+    return df.inputFiles()
+
+
+@pytest.mark.parametrize("n", [1, 5, 1500, 5000, 20_000])
+def test_first_rows_read_the_input_once(spark, tmp_path, n):
+    rows = [(f"z{k % 3}", 3 * (k * 7919 % 9000), f"text {k}") for k in range(9000)]
+    path = str(tmp_path / "source")
+    spark.createDataFrame(rows, "source_zip string, ord long, text string").repartition(4).write.parquet(path)
+    source = spark.read.parquet(path)
+    first = ranking.first_rows(source, ["source_zip", "ord"], n)
+    assert not any(path in f for f in scans(first))  # what is read from here on is the written table
+    got = [(r.source_zip, r.ord) for r in first.collect()]
+    assert got == sorted((z, o) for z, o, _ in rows)[:n]
+
+
+def test_first_rows_with_nulls_and_ties(spark):
+    rows = [(None, 5), ("a", None), ("a", 2), ("a", 2000), (None, None), ("b", 1)]
+    df = spark.createDataFrame(rows, "source_zip string, ord long")
+    for n in range(1, 8):
+        got = [tuple(r) for r in ranking.first_rows(df, ["source_zip", "ord"], n).collect()]
+        assert got == sorted(rows, key=lambda r: [(x is not None, "" if x is None else x) for x in r])[:n]
+    assert ranking.first_rows(df.limit(0), ["source_zip", "ord"], 3).count() == 0
+
+
+def test_numbered_rows_count_from_zero(spark):
+    rows = [(f"t{k * 37 % 500}", k) for k in range(500)]
+    df = spark.createDataFrame(rows, "term string, k long").repartition(5)
+    got = {r.term: r.idx for r in ranking.numbered(df, ["term"]).collect()}
+    assert got == {t: n for n, t in enumerate(sorted(t for t, _ in rows))}
+    assert ranking.numbered(df.limit(0), ["term"]).count() == 0
+
+
+def test_split_of_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "HOT_COPIES", 50)
+    monkeypatch.setattr(ranking, "HOT_KEYS", 10**9)
+    rows = [("a", "same", k) for k in range(400)] + [("a", f"u{k}", k) for k in range(100)]
+    rows += [("b", "x", 1), ("b", "x", 2), ("b", "y", 3), (None, "n", 4), (None, None, 5)]
+    df = spark.createDataFrame(rows, "intent_id string, utterance string, k int").repartition(4)
+    keys = ["intent_id", "utterance"]
+    got = ranking.stratified_split(df, "intent_id", keys).collect()
+    assert sorted((str(r[0]), str(r[1]), r[2]) for r in got) == sorted((str(a), str(b), c) for a, b, c in rows)
+    dev = [r for r in got if r["split"] == "dev"]
+    assert len(dev) == 101 and {r["split"] for r in got} == {"dev", "train"}  # ceil of a fifth of 505
+    again = ranking.stratified_split(df.repartition(7), "intent_id", keys).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    parted = [{r["split"] for r in got if (r[0], r[1]) == key} for key in {(r[0], r[1]) for r in got}]
+    assert sum(len(p) == 2 for p in parted) <= 3  # one key of a class at most is on both sides
+
+
+def test_copies_do_not_meet_in_a_split(spark):
+    rows = spark.range(20_000, numPartitions=8).selectExpr(
+        "'a' AS intent_id", "if(id % 100 = 0, concat('u', id), 'same') AS utterance", "id"
+    )
+    split = ranking.stratified_split(rows, "intent_id", ["intent_id", "utterance"])
+    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    assert counts == {"dev": 4000, "train": 16_000}

@@ -1,6 +1,8 @@
 import json
+import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +164,33 @@ def test_round_trip_keeps_quotes_and_line_breaks(spark, tmp_path):
     assert sorted(map(tuple, again.collect()), key=str) == sorted(rows, key=str)
     (tmp_path / "array.json").write_text('[{"intent_id": "a", "utterance": "u"},\n {"intent_id": "b"}]')
     assert tables.read_json_array(spark, str(tmp_path / "array.json"), tables.SEED_SCHEMA).count() == 2
+
+
+def test_members_are_read_by_their_place(spark, tmp_path, monkeypatch):
+    rng = random.Random(1)
+    want = {}
+    with zipfile.ZipFile(tmp_path / "kinds.zip", "w") as z:
+        for n, kind in enumerate([zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA] * 3):
+            want[f"é/{n}.json"] = "".join(rng.choice("ab ") for _ in range(n * 50))
+            z.writestr(f"é/{n}.json", want[f"é/{n}.json"], compress_type=kind)
+    raw = bytearray((tmp_path / "kinds.zip").read_bytes())
+    at = raw.index(want["é/8.json"].encode())  # stored as it is
+    raw[at] ^= 1
+    (tmp_path / "kinds.zip").write_bytes(bytes(raw))
+    rows = {r.file_name: r for r in scan_zip_json(spark, f"{tmp_path}/*.zip", chunk_bytes=60).collect()}
+    assert rows.keys() == want.keys()
+    for n, (name, text) in enumerate(want.items()):
+        if n % 4 == 3 or n == 8:  # a kind that is not read; a broken member
+            assert rows[name].raw is None and rows[name].error
+        else:
+            assert rows[name].raw == text and rows[name].error is None
+
+
+def test_the_directory_is_read_once(spark, tmp_path):
+    archive(tmp_path / "a.zip", [(f"{i}.json", "{}") for i in range(50)])
+    (run,) = list(archives._runs(1 << 20)([pa.RecordBatch.from_pydict({"path": [str(tmp_path / "a.zip")]})]))
+    with open(tmp_path / "a.zip", "r+b") as handle:  # members are found without it from here on
+        size = (tmp_path / "a.zip").stat().st_size
+        handle.truncate(size - 22)
+    (batch,) = list(archives._read_runs()([run]))
+    assert batch.column("raw").to_pylist() == ["{}"] * 50

@@ -144,7 +144,7 @@ class Table:
         return place, values
 
 
-def _store(counts: DataFrame, bits: int, sums: Sequence[str], others: Sequence[str] = ()) -> tuple[Table, list[int]]:
+def store(counts: DataFrame, bits: int, sums: Sequence[str], others: Sequence[str] = ()) -> tuple[Table, list[int]]:
     """Write ``(key, sums..., others...)`` as a table, and give the total of the first sum and how
     many rows have it 1, 2, 3 and 4. Every task handles whole shards, one after the other."""
     path, columns = fresh_path(counts.sparkSession, "hash-arrays"), [*sums, *others]
@@ -176,7 +176,8 @@ def _store(counts: DataFrame, bits: int, sums: Sequence[str], others: Sequence[s
         if kept:
             yield flush()
 
-    spread = counts.repartition(1 << bits, "shard")  # what is summed next needs no second shuffle
+    # a task for each shard; what is summed next needs no second shuffle
+    spread = counts.repartition(1 << bits, "shard")
     summed = spread.groupBy("shard", "key").agg(
         *[F.sum(c).alias(c) for c in sums], *[F.first(c).alias(c) for c in others]
     )
@@ -188,7 +189,7 @@ def _store(counts: DataFrame, bits: int, sums: Sequence[str], others: Sequence[s
     return Table(path, bits, sizes, starts), totals
 
 
-def _counted(key: np.ndarray, bits: int, named: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def counted(key: np.ndarray, bits: int, named: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     shard = (key >> np.uint64(64 - bits)).astype(np.int64)
     columns = {"shard": shard, "key": key.view(np.int64)} | named
     for at in range(0, len(key), 1 << 16):
@@ -355,9 +356,9 @@ def _count_words(texts: DataFrame, bits: int) -> DataFrame:
                 key, (c,), _ = merged(key, [c], [])
                 key, c = key[c > 0], c[c > 0]
                 if len(key) > COMBINED:
-                    yield from _counted(key, bits, {"c": c})
+                    yield from counted(key, bits, {"c": c})
                     key, c = key[:0], c[:0]
-        yield from _counted(key, bits, {"c": c})
+        yield from counted(key, bits, {"c": c})
 
     return texts.mapInArrow(run, _schema(["c"]))
 
@@ -375,7 +376,7 @@ def _count_grams(texts: DataFrame, vocabulary: Table, n_words: int, order: int,
                 return
             parts = [np.concatenate(p) for p in zip(*kept, strict=True)]
             key, (c,), words = merged(parts[0], [parts[1]], parts[2:])
-            yield from _counted(key, bits, {"c": c} | dict(zip(names, words, strict=True)))
+            yield from counted(key, bits, {"c": c} | dict(zip(names, words, strict=True)))
 
         for batch in batches:
             for pieces in slices(batch.column(0)):
@@ -392,7 +393,7 @@ def _count_grams(texts: DataFrame, vocabulary: Table, n_words: int, order: int,
     return texts.mapInArrow(run, _schema(["c", *names]))
 
 
-def _from_shards(spark: SparkSession, table: Table, give, values: Sequence[str]) -> DataFrame:
+def from_shards(spark: SparkSession, table: Table, give, values: Sequence[str]) -> DataFrame:
     """Rows that ``give`` makes of the arrays of each shard; a task reads one shard after the other."""
     shards = spark.createDataFrame([(k,) for k in table.sizes], "k long").repartition(max(len(table.sizes), 1), "k")
 
@@ -411,9 +412,9 @@ def _contexts(spark: SparkSession, table: Table, n: int, bits: int) -> DataFrame
         c = arrays["c"].astype(np.int64)
         parts = [c, *((x).astype(np.int64) for x in (c == 1, c == 2, c > 2))]
         key, sums, _ = merged(gram_key(_unpacked(arrays, n)[:-1]), parts, [])
-        yield from _counted(key, bits, dict(zip(("total", "n1", "n2", "n3"), sums, strict=True)))
+        yield from counted(key, bits, dict(zip(("total", "n1", "n2", "n3"), sums, strict=True)))
 
-    return _from_shards(spark, table, give, ["total", "n1", "n2", "n3"])
+    return from_shards(spark, table, give, ["total", "n1", "n2", "n3"])
 
 
 def _shorter(spark: SparkSession, table: Table, n: int, bits: int) -> DataFrame:
@@ -424,9 +425,9 @@ def _shorter(spark: SparkSession, table: Table, n: int, bits: int) -> DataFrame:
         words = _unpacked(arrays, n)[1:]
         key = gram_key(words)
         key, (c,), firsts = merged(key, [np.ones(len(key), np.int64)], list(_packed(words).values()))
-        yield from _counted(key, bits, {"c": c} | dict(zip(names, firsts, strict=True)))
+        yield from counted(key, bits, {"c": c} | dict(zip(names, firsts, strict=True)))
 
-    return _from_shards(spark, table, give, ["c", *names])
+    return from_shards(spark, table, give, ["c", *names])
 
 
 def fit(docs: DataFrame, order: int = 3, text: str = "text") -> Model:
@@ -444,19 +445,19 @@ def fit(docs: DataFrame, order: int = 3, text: str = "text") -> Model:
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = max(int(np.ceil(np.log2(max(chars / CHARS_PER_TOKEN / SHARD_ROWS, 1)))), 1)
     fewer = max(bits - 2, 1)  # for tables of words
-    vocabulary, (tokens, *_) = _store(_count_words(texts, fewer), fewer, ["c"])
+    vocabulary, (tokens, *_) = store(_count_words(texts, fewer), fewer, ["c"])
     n_words = sum(vocabulary.sizes.values())
     if n_words > (1 << 32) - 3:
         raise ValueError("more than 2^32 - 2 different words")
     extra = list(_packed([np.zeros(0)] * order))
-    table, stats = _store(_count_grams(texts, vocabulary, n_words, order, bits), bits, ["c"], extra)
+    table, stats = store(_count_grams(texts, vocabulary, n_words, order, bits), bits, ["c"], extra)
     grams, contexts, taken = [table], [], [discounts(stats[1:])]
     for n in range(order, 1, -1):
         size = bits if n > 2 else fewer
         follows = _contexts(spark, grams[0], n, size)
-        contexts.insert(0, _store(_with_gamma(follows, taken[0]), size, ["total", "gamma"])[0])
+        contexts.insert(0, store(_with_gamma(follows, taken[0]), size, ["total", "gamma"])[0])
         extra = list(_packed([np.zeros(0)] * (n - 1)))
-        table, stats = _store(_shorter(spark, grams[0], n, size), size, ["c"], extra)
+        table, stats = store(_shorter(spark, grams[0], n, size), size, ["c"], extra)
         grams.insert(0, table)
         taken.insert(0, discounts(stats[1:]))
     total, n1, n2, *_ = stats

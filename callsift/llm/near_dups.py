@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import numbered, utf8, words
+from callsift.llm.common import give_back, numbered, utf8, words
 from callsift.session import written
 
 _U = np.uint64
@@ -145,6 +145,7 @@ def sketched(docs: DataFrame, shape: Shape, doc_id: str, text: str) -> DataFrame
             names = ["n_shingles", "hi", "lo", "bands", "odd", "sampled"]
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({"hi": "Int64", "lo": "Int64", "sampled": "Int64"})
+        give_back()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), run(F.col(text)).alias("_s")).select(
         "doc_id", "_s.*"

@@ -26,6 +26,8 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from callsift.llm.common import give_back
+
 END_ID = 2
 CACHED_BYTES = 64 << 20  # of known words and chunks that a worker keeps
 ENTRY_BYTES = 240  # of one of them besides its characters and ids
@@ -336,6 +338,7 @@ def pack(
                         yield table(rows)
         if rows := stream.pieces(last=True):
             yield table(rows)
+        give_back()
 
     rows = docs.select(docs[doc_id].cast("long"), docs[text].cast("string"))
     return rows.mapInArrow(run, SCHEMA)

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import StructType
 
+from callsift.llm.common import free_name, give_back
+
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -249,10 +251,7 @@ def _mapped(df: DataFrame, source: str, weight: int, new: dict[str, pa.DataType]
     """Every row with the columns that ``give`` makes of ``source``, some ``SLICE`` characters at a time;
     ``weight`` is the bytes of a character. Columns of the same names are replaced."""
     kept = [c for c in df.columns if c not in new]
-    free = "_source"
-    while free in df.columns:
-        free += "_"
-    rows = df.select(F.col(f"`{source}`").alias(free), *[F.col(f"`{c}`") for c in kept])
+    rows = df.select(F.col(f"`{source}`").alias(free_name(df, "_source")), *[F.col(f"`{c}`") for c in kept])
     schema = StructType([f for f in df.schema if f.name in kept])
     for name, kind in new.items():
         schema = schema.add(name, from_arrow_type(kind))
@@ -268,6 +267,7 @@ def _mapped(df: DataFrame, source: str, weight: int, new: dict[str, pa.DataType]
                 some = batch.slice(a, b - a)
                 arrays = [pa.array(v, t) for v, t in zip(give(some.column(0)), new.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*some.columns[1:], *arrays], [*kept, *new])
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from callsift.llm.common import (
     fit_logistic,
+    give_back,
     kept_apart,
     labelled_sample,
     prior_log_odds,
@@ -205,5 +206,6 @@ def with_score(
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([model.probability(t) for t in batch], dtype="float64")
+        give_back()
 
     return docs.withColumn(out, score(F.col(text)))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.common import numbered, utf8, words
+from callsift.llm.common import give_back, numbered, utf8, words
 from callsift.session import written
 
 #: Frequent words of each language; a histogram has a bin for each and one for all other words.
@@ -132,6 +132,7 @@ def profile(
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common"]
         for batch in batches:
             yield pd.DataFrame([counts_of(t, bins) for t in batch], columns=names)
+        give_back()
 
     return docs.withColumn("_p", measure(F.col(text)))
 
@@ -282,16 +283,20 @@ def judge(
     """
     made = (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "char_distance", "word_distance", "nearest_lang", "kept", "_p",
+        "char_distance", "word_distance", "nearest_lang", "kept",
     )
-    profiled = profile(docs, common, text)
     kept_columns = [c for c in docs.columns if c != text and c not in made]
-    profiled = written(profiled.select(*kept_columns, "_p"), "profile")
-    references = fit_references(profiled, common, limits, lang)
+    own = {c: f"own_{n}" for n, c in enumerate(kept_columns)}  # so that no column is named like one made here
+    renamed = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(o) for c, o in own.items()])
+    stated = own.get(lang) or "own_lang"
+    if lang not in own:
+        renamed = renamed.withColumn(stated, docs[lang])
+    profiled = written(profile(renamed, common).drop("text"), "profile")
+    references = fit_references(profiled, common, limits, stated)
     p = F.col("_p")
     d = F.col("_d")
     return with_distances(profiled, references, common).select(
-        *kept_columns,
+        *(F.col(o).alias(c) for c, o in own.items()),
         *(p[c].alias(c) for c in made[:5]),
         base_failed(limits).alias("base_failed"),
         *(d[c].alias(c) for c in ("char_distance", "word_distance", "nearest_lang")),

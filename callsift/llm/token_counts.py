@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callsift.llm.common import free_name
+
 WORD = re.compile(r"\w+|[^\w\s]")
 CACHED = 500_000
 LONGEST_CACHED = 64
@@ -169,8 +171,9 @@ def with_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFra
                 np.concatenate(found or [np.zeros((0, 3), np.int64)]), columns=["n_words", "n_tokens", "n_unknown"]
             )
 
-    counted = docs.withColumn("_t", run(F.col(text)))
-    return counted.withColumns({c: F.col("_t")[c] for c in ("n_words", "n_tokens", "n_unknown")}).drop("_t")
+    free = free_name(docs, "_t")
+    counted = docs.withColumn(free, run(F.col(text)))
+    return counted.withColumns({c: F.col(free)[c] for c in ("n_words", "n_tokens", "n_unknown")}).drop(free)
 
 
 def _slices(batch: pd.Series, characters: int = 8 << 20) -> Iterator[pd.Series]:

@@ -6,6 +6,7 @@ import numpy as np
 
 from callsift.llm import near_dups
 from callsift.llm.near_dups import Shape
+from callsift.session import written
 
 
 def shingles(text, width):
@@ -111,7 +112,7 @@ def test_no_task_holds_more_than_two_blocks(spark, monkeypatch):
     run = kind.mapInArrow
     monkeypatch.setattr(kind, "mapInArrow", lambda df, *a, **b: met.append(df) or run(df, *a, **b))
     for label in ("id", "if(id % 3 > 0, -1, id)"):
-        labelled = members.selectExpr("*", f"{label} as label").localCheckpoint()
+        labelled = written(members.selectExpr("*", f"{label} as label"))
         assert labelled.agg({"n": "max"}).first()[0] > 100
         met.clear()
         pairs = near_dups.crossing_pairs(labelled, nodes.select("id", "bands"), shape)

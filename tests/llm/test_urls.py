@@ -62,3 +62,48 @@ def test_without_a_class_and_empty(spark):
     got = urls.judge(pages, URL_RULES).orderBy("page_id").collect()
     assert [r["verdict"] for r in got] == ["allow", "allow"]
     assert urls.judge(pages.limit(0), URL_RULES).count() == 0
+
+
+def known_urls(n):
+    rows = [(f"https://www.site{k % 9}.com/de/item/{k * 7}?é={k % 5}", "allow") for k in range(n)]
+    return rows + [(f"http://x{k % 7}.net/es/casino/win{k * 3}", "block") for k in range(n)] + [(None, "allow")]
+
+
+def test_counts_in_spark_equal_plain_counts(spark, monkeypatch):
+    rows = known_urls(150)
+    known = spark.createDataFrame(rows, "_u string, _v string").repartition(3)
+    monkeypatch.setattr(urls, "SHARD_GRAMS", 500)  # some shards
+    model = urls.fit_spread(known, 4)
+    assert model.grams.bits > 2
+    plain = urls.UrlModel(
+        *[urls.MarkovModel([u or "" for u, v in rows if v == c], 4) for c in ("allow", "block")], 0.0
+    )
+    asked = [None, "", "https://www.site3.com/de/item/1", "http://x1.net/es/casino/win9", "ftp://other.org/日本", "x" * 3000]
+    assert model.differences(asked) == pytest.approx([plain.difference(u) for u in asked], rel=1e-9)
+
+
+def test_counts_grow_with_the_urls(spark):
+    few, many = (urls.fit_spread(spark.createDataFrame(known_urls(n), "_u string, _v string"), 4) for n in (100, 30_000))
+    assert sum(many.grams.sizes.values()) > 3 * sum(few.grams.sizes.values())
+
+
+def test_threshold_makes_the_fewest_errors():
+    scored = [(0.5, True), (0.3, True), (0.1, False), (-0.2, True), (-0.4, False), (-0.6, False)]
+    best = urls.best_threshold(scored)
+    wrong = lambda t: sum(ok != (d >= t) for d, ok in scored)
+    assert wrong(best) == min(wrong(t) for t in (-1, -0.5, -0.3, 0, 0.2, 0.4, 1))
+
+
+def test_unruled_urls_are_judged_by_the_models(spark):
+    rows = [(k, u, v) for k, (u, v) in enumerate(known_urls(200))]
+    rows += [(1000 + k, f"https://www.site{k % 9}.org/de/item/{k * 11}", "allow") for k in range(40)]
+    rows += [(2000 + k, f"http://x{k % 7}.biz/es/casino/win{k * 5}", "block") for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, want string").repartition(3)
+    got = urls.judge(pages, URL_RULES).where("rule is null and url is not null").collect()
+    assert len(got) == 80 and all(r["verdict"] == r["want"] for r in got)
+
+
+def test_of_equal_rules_the_first_counts(spark):
+    rules = [urls.rule("block", "a.org/x"), urls.rule("allow", "a.org/x"), urls.rule("allow", "a.org/")]
+    pages = spark.createDataFrame([("https://a.org/x1",), ("https://a.org/y",)], "url string")
+    assert [r["verdict"] for r in urls.judge(pages, rules).orderBy("url").collect()] == ["block", "allow"]

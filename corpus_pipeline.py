@@ -11,23 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.llm import near_dups, packing, quality_net, quality_rules
-from callsift.llm.common import table
+from callsift.llm.common import free_name, table
 from callsift.session import written
 
 MIN_QUALITY = 0.5
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go, null and empty texts among them; repeated rows are judged
+    alike, and long texts whole."""
     return quality_rules.keep(docs)
 
 
 def apply_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below ``MIN_QUALITY`` go. The network learns from the stage's own input and
-    is calibrated to the labels of the documents in it."""
+    is calibrated to the labels of the documents in it; without labels of both kinds all score alike.
+    Null and empty texts are scored as an empty one, long texts whole; repeated rows score alike."""
     model = quality_net.fit(docs, labels_of(spark, docs, sf_dir))
-    scored = quality_net.with_score(docs, model, out="_score")
-    return scored.where(F.col("_score") >= MIN_QUALITY).select(docs.columns)
+    score = free_name(docs, "_score")
+    scored = quality_net.with_score(docs, model, out=score)
+    return scored.where(F.col(score) >= MIN_QUALITY).select(docs.columns)
 
 
 def labels_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,8 @@ def labels_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def apply_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id, once if it is repeated."""
+    """One document of each group stays: the one with the smallest id, once if it is repeated. Rows
+    with a null id stay, and so do texts without words, which are like none."""
     found = written(near_dups.near_duplicates(docs), "near-dups")
     copies = written(found.where(~F.col("kept")).select("doc_id").distinct(), "copies")
     left = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
@@ -48,6 +52,7 @@ def apply_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def apply_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens; a null or empty text has its end token alone."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

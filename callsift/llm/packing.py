@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from callsift.llm.common import give_back
 
 END_ID = 2
-CACHED_BYTES = 64 << 20  # of known words and chunks that a worker keeps
-ENTRY_BYTES = 240  # of one of them besides its characters and ids
+CACHED_BYTES = 128 << 20  # of known words and chunks that a worker keeps, half for each
+ENTRY_BYTES = 240  # of one of them
 LONGEST_CACHED = 64
-SLICE = 1 << 20  # bytes of text encoded at a time
+SLICE = 4 << 20  # bytes of text encoded at a time
 
 
 @dataclass(frozen=True)
@@ -50,12 +50,16 @@ class Costs:
     block: int = 1 << 18
 
 
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
     """Ids of a word-end BPE tokenizer file, found once per distinct word.
 
     The tokenizer drops white space and never joins what it parts, so a text's ids are the ids of
-    its chunks between ASCII white space. Chunks of ASCII letters, with a mark or without, are words
-    as they stand; other chunks of Latin letters are cut into words by the tokenizer's own pattern.
+    its chunks between ASCII white space. Chunks of Latin letters, with a mark or without, are words
+    as they stand; other chunks of Latin characters are cut into words by the tokenizer's own pattern.
     New words are encoded together; any other chunk, and one that may hold a special token
     (``<|...``), goes through the tokenizer as it is.
     """
@@ -82,9 +86,8 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.ends_word[i] = token.endswith("</w>")
             self.ends_sentence[i] = token.endswith((".</w>", "!</w>", "?</w>"))
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
+        self.of_word: dict[str, bytes] = {}
+        self.of_chunk: dict[str, bytes] = {}
         self.marks = self._learn(list(".,;:"))
 
     def _words(self, chunk: str) -> list[str] | None:
@@ -108,63 +111,64 @@ class WordEncoder:
                 first = end
         return out
 
-    def _kept(self, names: list[str], make: Callable[[list[str]], dict[str, bytes]]) -> list[bytes]:
-        """The ids of each name, from what the worker keeps or by ``make``. What was asked since half
-        of the bytes were used up is kept, older names are forgotten."""
-        found = list(map(self.young.get, names))
-        lost = [k for k, ids in enumerate(found) if ids is None]
-        new = {}
-        for k in lost:
-            if (ids := self.old.get(names[k])) is None:
-                new[names[k]] = b""
-            else:
-                found[k] = new[names[k]] = ids
-        asked = [n for n, ids in new.items() if not ids and n not in self.old]
-        new.update(make(asked))
-        for k in lost:
-            found[k] = new[names[k]]
-        for n, ids in new.items():
-            if len(n) <= LONGEST_CACHED:
-                self.young[n] = ids
-                self.held += ENTRY_BYTES + len(n) + len(ids)
-        if self.held > CACHED_BYTES // 2:
-            self.old, self.young, self.held = self.young, {}, 0
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words, found once for each."""
+        found = list(map(self.of_word.get, words))
+        if new := [w for w, ids in zip(words, found, strict=True) if ids is None]:
+            learnt = self._learn(list(dict.fromkeys(new)))
+            found = [learnt[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+            self._keep(self.of_word, learnt)
         return found
 
-    def _odd(self, chunks: list[str]) -> dict[str, bytes]:
+    def _keep(self, cache: dict[str, bytes], learnt: dict[str, bytes]) -> None:
+        """A cache that holds its share of the bytes starts anew."""
+        if len(cache) * ENTRY_BYTES > CACHED_BYTES // 2:
+            cache.clear()
+        cache.update((n, ids) for n, ids in learnt.items() if len(n) <= LONGEST_CACHED)
+
+    def _odd(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks that are not plain words."""
         cut = [self._words(c) for c in chunks]
-        names = list({w for ws in cut if ws for w in ws})
-        known = dict(zip(names, self._kept(names, self._learn), strict=True))
-        return {
-            c: np.array(self.whole.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+        each = iter(self._of_words([w for ws in cut if ws for w in ws]))
+        return [
+            np.array(self.whole.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
             if ws is None
-            else b"".join([known[w] for w in ws])
+            else b"".join([next(each) for _ in ws])
             for c, ws in zip(chunks, cut, strict=True)
-        }
+        ]
 
-    def _of_chunks(self, chunks: pa.Array) -> list[bytes]:
+    def _learn_chunks(self, chunks: pa.Array) -> list[bytes]:
         """The ids of distinct chunks. Plain words, also with a mark after them, are told apart for all
         chunks at once; a plain word's ids do not depend on its case."""
-        size = len(chunks)
         body = pc.utf8_rtrim(chunks, ".,;:")
-        marks = np.array(pc.utf8_length(chunks)) - np.array(pc.utf8_length(body))
-        plain = np.array(pc.and_(pc.string_is_ascii(body), pc.ascii_is_alpha(body))) & (marks <= 1)
-        out: list[bytes] = [b""] * size
+        marks = np.asarray(pc.binary_length(chunks)) - np.asarray(pc.binary_length(body))
+        latin = pc.match_substring_regex(body, f"^{self.PLAIN.pattern}$")
+        plain = pc.and_(latin, pc.utf8_is_alpha(body)).to_numpy(zero_copy_only=False) & (marks <= 1)
+        out: list[bytes] = [b""] * len(chunks)
         at = np.flatnonzero(plain)
-        words = pc.ascii_lower(body.take(pa.array(at))).to_pylist()
-        distinct = list(dict.fromkeys(words))
-        ids = dict(zip(distinct, self._kept(distinct, self._learn), strict=True))
-        for k, w in zip(at.tolist(), words, strict=True):
-            out[k] = ids[w]
+        words = _strings(pc.utf8_lower(body.take(pa.array(at))))
+        for k, ids in zip(at.tolist(), self._of_words(words), strict=True):
+            out[k] = ids
         marked = np.flatnonzero(plain & (marks == 1))
-        for k, c in zip(marked.tolist(), chunks.take(pa.array(marked)).to_pylist(), strict=True):
-            out[k] += self.marks[c[-1]]
-        odd = np.flatnonzero(~plain & (np.array(pc.binary_length(chunks)) > 0))
-        for k, i in zip(odd.tolist(), self._kept(chunks.take(pa.array(odd)).to_pylist(), self._odd), strict=True):
-            out[k] = i
+        for k, mark in zip(marked.tolist(), _strings(pc.utf8_slice_codeunits(chunks.take(pa.array(marked)), -1)), strict=True):
+            out[k] += self.marks[mark]
+        odd = np.flatnonzero(~plain & (np.asarray(pc.binary_length(chunks)) > 0))
+        for k, ids in zip(odd.tolist(), self._odd(_strings(chunks.take(pa.array(odd)))), strict=True):
+            out[k] = ids
         return out
 
+    def _of_chunks(self, chunks: pa.Array) -> list[bytes]:
+        """The ids of distinct chunks, from what the worker keeps or learnt."""
+        names = _strings(chunks)
+        found = list(map(self.of_chunk.get, names))
+        lost = [k for k, ids in enumerate(found) if ids is None]
+        if lost:
+            learnt = self._learn_chunks(chunks.take(pa.array(lost, pa.int64())))
+            for k, ids in zip(lost, learnt, strict=True):
+                found[k] = ids
+            self._keep(self.of_chunk, dict(zip([names[k] for k in lost], learnt, strict=True)))
+        return found
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
         parts = pc.ascii_split_whitespace(texts)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsift.llm.common import give_back, numbered, utf8, words
+from callsift.operators.ranking import top_k_per_group
 from callsift.session import written
 
 #: Frequent words of each language; a histogram has a bin for each and one for all other words.
@@ -118,6 +119,35 @@ def counts_of(text: str | None, bins: Sequence[Mapping[bytes, int]]) -> tuple:
     )
 
 
+def stated_words(
+    docs: DataFrame,
+    common: Mapping[str, Sequence[str]],
+    text: str = "text",
+    lang: str = "lang",
+    n: int = 20,
+    min_docs: int = 50,
+    most: int = 100,
+) -> dict[str, tuple[str, ...]]:
+    """The ``n`` most frequent words of every other language that at least ``min_docs`` documents
+    state, at most of the ``most`` languages with most documents; counted in Spark over all of
+    those documents. With such a list a language has a reference of its own."""
+    others = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).where(
+        F.col("lang").isNotNull() & ~F.col("lang").isin(*common)
+    )
+    sizes = others.groupBy("lang").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    names = [r["lang"] for r in sizes.orderBy(F.desc("docs"), "lang").limit(most).collect()]
+    if not names:
+        return {}
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    each = others.where(F.col("lang").isin(names)).select(
+        "lang", F.explode(F.split(lowered, r"[\x20\x09-\x0D]+")).alias("word")
+    )
+    counts = each.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("c"))
+    best = top_k_per_group(counts, ["lang"], [F.desc("c"), F.col("word")], n, rank="rank")
+    rows = best.orderBy("lang", "rank").collect()  # n words of each language
+    return {name: tuple(r["word"] for r in rows if r["lang"] == name) for name in names}
+
+
 def profile(
     docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WORDS, text: str = "text"
 ) -> DataFrame:
@@ -237,7 +267,9 @@ def keep(
     lang: str = "lang",
 ) -> DataFrame:
     """The rows of ``docs`` that pass, as they are: one pass for the references, one for the verdicts,
-    and no text is shuffled. One function gives the whole verdict, so that a text is counted once."""
+    and no text is shuffled. One function gives the whole verdict, so that a text is counted once.
+    Languages, nulls, empty and repeated rows are taken as in ``judge``."""
+    common = {**common, **stated_words(docs, common, text, lang)}
     counted = written(profile(docs.select(lang, text), common, text).select(lang, "_p"), "profile")
     references = fit_references(counted, common, limits, lang)
     bins = [{w.encode(): k for k, w in enumerate(common[name])} for name in sorted(common)]
@@ -277,7 +309,9 @@ def judge(
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     char_distance, word_distance, nearest_lang, kept``; columns of these names are replaced.
     ``lang`` only tells which documents make which reference: a text is held against the nearest
-    one, so a null or wrong language changes no verdict. A null or empty text has no words and
+    one, so a null or wrong language changes no verdict. Languages beyond those of ``common`` get their
+    words and reference from their own documents, where there are enough (``stated_words``); prose of a
+    language that has neither is far from all references, and is rejected. A null or empty text has no words and
     fails the base rules. Repeated rows are judged alike. Without any reference both distances are
     0. The counts are written once to the shared folder, as the references need them all first.
     """
@@ -286,6 +320,7 @@ def judge(
         "char_distance", "word_distance", "nearest_lang", "kept",
     )
     kept_columns = [c for c in docs.columns if c != text and c not in made]
+    common = {**common, **stated_words(docs, common, text, lang)}
     own = {c: f"own_{n}" for n, c in enumerate(kept_columns)}  # so that no column is named like one made here
     renamed = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias(o) for c, o in own.items()])
     stated = own.get(lang) or "own_lang"

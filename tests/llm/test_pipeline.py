@@ -42,3 +42,12 @@ def test_repeated_and_null_rows(spark):
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 0, 1, 3]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_stages_keep_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clashing = docs.withColumns({c: F.col("doc_id") for c in ("_score", "_d", "_p", "_t", "kept", "score")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, clashing, SF)
+        assert left.columns == clashing.columns
+        assert left.where("_score <> doc_id or _d <> doc_id or _p <> doc_id or kept <> doc_id").isEmpty()

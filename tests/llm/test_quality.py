@@ -136,3 +136,39 @@ def test_calibration_reads_whole_texts(spark, monkeypatch, module, label):
         pair = model.compressors()
         want = np.array([toxicity.features(toxicity.gains_of(common.utf8(texts[k]), model.shape, pair)) for k in apart])
         assert seen[0] * model.spread + model.center == pytest.approx(want)
+
+
+POLISH = "w i na z do nie się jest to że o jak po co tak za od ale czy ich przez tylko".split()
+RARE = "dom miasto rzeka człowiek droga praca szkoła woda ziemia noc dzień chleb okno drzewo ogród pole".split()
+
+
+def polish(seed, n=90):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(POLISH if rng.random() < 0.45 else RARE) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
+
+
+def test_a_fifth_language_has_a_reference_of_its_own(spark):
+    english = [
+        " ".join(random.Random(k).choices("the of and to in a is that house garden river small old".split(), k=90))
+        for k in range(60)
+    ]
+    junk = " ".join("".join(random.Random(9).choices("qxzvk", k=7)) + str(i) for i in range(120))
+    rows = [(k, polish(k), "pl") for k in range(60)] + [(100 + k, t, "en") for k, t in enumerate(english)]
+    rows += [(500, junk, "pl"), (501, None, "pl"), (502, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = {r["doc_id"] for r in quality_rules.judge(docs).where("kept").collect()}
+    assert kept == {r["doc_id"] for r in quality_rules.keep(docs).collect()}
+    assert set(range(60)) <= kept and not {500, 501, 502} & kept
+    words = quality_rules.stated_words(docs, COMMON_WORDS)
+    assert set(words) == {"pl"} and len(words["pl"]) == 20
+    few = docs.where("doc_id < 20 or doc_id >= 100")  # too few documents for a reference
+    assert quality_rules.stated_words(few, COMMON_WORDS) == {}
+
+
+def test_columns_of_the_rules_own_names_are_kept(spark):
+    text = "the cat of the house was in that garden and it is on the roof with " * 3
+    docs = spark.createDataFrame(
+        [(1, text, "en", 7, 8, 9)], "doc_id long, text string, lang string, _d int, _p int, kept int"
+    )
+    row = quality_rules.judge(docs).first()
+    assert (row["_d"], row["_p"], row["lang"]) == (7, 8, "en") and isinstance(row["kept"], bool)

@@ -136,3 +136,9 @@ def test_ids_keep_other_columns_and_null_ids(spark):
     assert rows[2]["ids"] == [] and rows[2]["back"] == "" and rows[2]["text"] is None
     back = {r["doc_id"]: r["text"] for r in pieces.with_text(docs, MODEL, "lists", "text").collect()}
     assert back[2] == "" and back[1] is not None
+
+
+def test_counts_keep_a_column_of_their_helper_s_name(spark):
+    docs = spark.createDataFrame([(1, "a word", 5, 6)], "doc_id long, text string, _t int, n_words int")
+    row = token_counts.with_counts(docs, BYTES).first()
+    assert row["_t"] == 5 and row["n_words"] == 2

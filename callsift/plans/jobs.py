@@ -296,11 +296,25 @@ def export_training(catalog: DataFrame) -> dict[str, DataFrame]:
 harvest_seeds = utt.harvest_seeds
 
 
+def in_rows(df: DataFrame) -> DataFrame:
+    """Utterances with the column ``row`` that orders them: their own, or the ``rank`` or the places that
+    an earlier stage gave them."""
+    if "row" in df.columns:
+        return df
+    if "rank" in df.columns:
+        return df.withColumnRenamed("rank", "row")
+    places = [c for c in utt.ORDER if c in df.columns]
+    if not places:
+        raise ValueError("no column orders these rows: read them with tables.with_row")
+    return df.withColumn("row", F.struct(*places))
+
+
 def merge_seeds(
     base: DataFrame, seeds: DataFrame, strict_rules: Rules = lex.STRICT_RULES, **limits
 ) -> DataFrame:
     """Base rows ``(intent_id, intent_name, utterance, row)`` and harvested seeds to the mixed set
     ``(intent_id, intent_name, utterance, rank)``."""
+    base = in_rows(base)
     order = [c for c in (*utt.ORDER, "row") if c in seeds.columns]
     cleaned = utt.clean_seeds(seeds, order, strict_rules).withColumn("row", F.struct(*order))
     mixed = utt.quota_mix(base, cleaned, **limits)
@@ -320,6 +334,7 @@ def top_up(
     The added rows, fewer than the targets' sum, are found by one pass over the calls and written
     to the shared folder, as they decide whether the base is touched at all.
     """
+    base = in_rows(base)
     adds = written(utt.topup_rows(base, calls, rules, targets, **options))
     return utt.append_and_cap(base, adds, max_rows)
 
@@ -333,7 +348,7 @@ def build_eval_sets(
 
 def enforce_whitelist(
     utterances: DataFrame,
-    order: Sequence[str],
+    order: Sequence[str] = ("intent_id", "row"),
     intents: Iterable[str] = lex.ANSWERABLE_INTENTS,
     max_rows: int = lex.MAX_PER_INTENT,
     min_rows: int = lex.MIN_PER_INTENT,

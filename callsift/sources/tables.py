@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callsift.operators.ranking import numbered
 
 CALL_SCHEMA = (
     "source_zip string, file_name string, domain string, topic string, n_turns long, "
@@ -38,6 +41,14 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', quote='"')
 
 
+def with_row(df: DataFrame, out: str = "row") -> DataFrame:
+    """Rows just read from files with their place: by file name, then as they stand in the file."""
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seen")
+    )
+    return numbered(placed, ["_file", "_seen"], out).drop("_file", "_seen")
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

@@ -83,24 +83,23 @@ def with_call_texts(
     calls: DataFrame,
     customer: Iterable[str] = lex.CUSTOMER_ALIASES,
     agent: Iterable[str] = lex.AGENT_ALIASES,
+    keep_blank: bool = False,
 ) -> DataFrame:
-    """From ``turns`` to turn counts and the three texts; calls without text are dropped."""
+    """From ``turns`` to turn counts and the three texts; calls without text are dropped, if they are not
+    to be kept."""
     marked = computed_once(calls, {"turns": mark_speakers("turns", customer, agent)})
     is_customer = F.filter("turns", lambda t: F.coalesce(t["is_customer"], F.lit(False)))
-    return (
-        computed_once(
-            marked,
-            {
-                "n_turns": F.size("turns").cast("long"),
-                "n_customer_turns": F.size(is_customer).cast("long"),
-                "customer_text": role_text("turns", True),
-                "agent_text": role_text("turns", False),
-                "full_text": full_text("turns"),
-            },
-        )
-        .where(F.col("full_text") != "")
-        .drop("turns")
-    )
+    texts = computed_once(
+        marked,
+        {
+            "n_turns": F.size("turns").cast("long"),
+            "n_customer_turns": F.size(is_customer).cast("long"),
+            "customer_text": role_text("turns", True),
+            "agent_text": role_text("turns", False),
+            "full_text": full_text("turns"),
+        },
+    ).drop("turns")
+    return texts if keep_blank else texts.where(F.col("full_text") != "")
 
 
 def keyword_calls(calls: DataFrame, keywords: Iterable[str] = lex.BUILD_KEYWORDS) -> DataFrame:

@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.functions import lexicons as lex
 from callsift.functions.rules import Rules, dev_sample_predicate, exact_bucket
-from callsift.functions.text import prefer_customer, truncate
+from callsift.functions.text import has_word, prefer_customer, truncate
 from callsift.operators import calls as call_ops
 from callsift.operators import catalog as cat
 from callsift.operators import clusters as clu
@@ -23,7 +23,8 @@ from callsift.operators import terms as term_ops
 from callsift.operators import utterances as utt
 from callsift.operators.classify import train_intent_classifier
 from callsift.operators.ranking import first_rows, first_written_rows, sample_n, stratified_split
-from callsift.session import fresh_path, written
+from callsift.operators.shaping import computed_once
+from callsift.session import written
 from callsift.sources import sinks
 from callsift.sources.archives import scan_zip_json
 from callsift.sources.records import decode_json, decode_tagged, raw_calls, raw_texts, rejects_of
@@ -64,22 +65,16 @@ def parse_archives(
     """Archives to the rows that ``extract`` makes of their records, the rejects, and counters.
 
     Members are unzipped and parsed once: all go into one table, written with a folder for good ones
-    and one for rejects, and the counters are observed while it is written.
+    and one for rejects, and that table is counted.
     """
     tagged = decode_tagged(scan_zip_json(spark, glob))
-    seen = Observation("members")
-    rows = extract(tagged, "reason", "error").observe(
-        seen, F.count("*").alias("checked"), F.count_if(F.col("reason").isNull()).alias("good")
-    )
     status = F.when(F.col("reason").isNull(), "good").otherwise("reject")
-    path = fresh_path(spark, "parsed")
-    tagged_rows = rows.withColumn("status", status)
-    tagged_rows.write.partitionBy("status").parquet(path)
-    table = spark.read.schema(tagged_rows.schema).parquet(path)
+    table = written(extract(tagged, "reason", "error").withColumn("status", status), "parsed", ["status"])
     good = table.where("status = 'good'").drop("status", "reason", "error")
     rejects = rejects_of(table.where("status = 'reject'"), ("source_zip", "path", "ord", "file_name", "error"))
-    counts = dict(seen.get)
-    return Parsed(good, rejects, counts | {"rejected": counts["checked"] - counts["good"]})
+    found = {r["status"]: r["count"] for r in table.groupBy("status").count().collect()}
+    counts = {"good": found.get("good", 0), "rejected": found.get("reject", 0)}
+    return Parsed(good, rejects, {"checked": sum(counts.values())} | counts)
 
 
 def profile_source(
@@ -170,19 +165,22 @@ def build_subset_outputs(
 ) -> dict[str, DataFrame]:
     """The domain's calls, a sample of them, the counters, and the ten archives with most calls.
 
-    Texts are made and tested once: the calls with a domain word are written, and the records are
-    counted while that happens.
+    Texts are made and tested once: all calls go into one table, in a folder each for those with and
+    without a domain word, and the latter without their texts.
     """
-    seen = Observation("records")
-    texts = call_ops.with_call_texts(calls.observe(seen, F.count("*").alias("checked")), customer, agent)
-    matched = written(call_ops.keyword_calls(texts, keywords), "matched")
+    texts = call_ops.with_call_texts(calls, customer, agent, keep_blank=True)
+    preferred = prefer_customer("customer_text", "full_text")
+    hit = F.coalesce((F.col("full_text") != "") & has_word(preferred, keywords), F.lit(False))
+    tagged = computed_once(texts, {"hit": hit})
+    hollow = {c: F.when(F.col("hit"), F.col(c)) for c in ("customer_text", "agent_text", "full_text")}
+    table = written(tagged.withColumns(hollow), "tested", ["hit"])
+    matched = table.where("hit").drop("hit")
     kept = written(call_ops.first_by_hash(matched, call_order(matched)), "calls")
-    checked = F.lit(seen.get["checked"]).cast("long").alias("checked")
-    counters = matched.agg(F.count("*").alias("matched")).join(F.broadcast(kept.agg(F.count("*").alias("kept"))))
+    counters = table.agg(F.count("*").alias("checked"), F.count_if("hit").alias("matched"))
     return {
         "calls": kept,
         "sample": call_sample(kept),
-        "counters": counters.select(checked, "matched", "kept"),
+        "counters": counters.join(F.broadcast(kept.agg(F.count("*").alias("kept")))),  # one row each
         "top_archives": rep.top_values(kept, "source_zip", 10),
     }
 

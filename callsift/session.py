@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,12 +24,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "step") -> DataFrame:
+def written(df: DataFrame, name: str = "step", by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as parquet into the shared folder and read it back: a cut of the lineage that
-    survives lost executors and still prunes columns."""
+    survives lost executors and still prunes columns. Values of the columns ``by`` have a folder each,
+    so that a filter on them reads no more than it keeps."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -236,6 +236,7 @@ def forest_edges(members: DataFrame, shape: Shape) -> DataFrame:
                 rows = []
         if rows:
             yield _edges(rows)
+        give_back()
 
     blocks = F.ceil(F.col("n") / shape.block)
     dealt = members.withColumn("blk", F.pmod(F.xxhash64("id", "key"), blocks))
@@ -282,6 +283,7 @@ def crossing_pairs(members: DataFrame, bands: DataFrame, shape: Shape) -> DataFr
                     rows = []
             if rows:
                 yield _edges(rows)
+        give_back()
 
     spread = (
         members.groupBy("key")
@@ -346,6 +348,7 @@ def confirmed(edges: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
             of_x = shingle_hashes(utf8(x), shape.words)
             both = len(np.intersect1d(of_x, of_last, assume_unique=True))
             out.append(100 * both >= shape.percent * (len(of_x) + len(of_last) - both))
+        give_back()
         return pd.Series(out, dtype=bool)
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("_x"))

@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from callsift.llm.common import give_back
 
 END_ID = 2
-CACHED_BYTES = 128 << 20  # of known words and chunks that a worker keeps, half for each
+CACHED_BYTES = 48 << 20  # of known chunks that a worker keeps
 ENTRY_BYTES = 240  # of one of them
 LONGEST_CACHED = 64
-SLICE = 4 << 20  # bytes of text encoded at a time
+SLICE = 2 << 20  # bytes of text encoded at a time
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,6 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.ends_word[i] = token.endswith("</w>")
             self.ends_sentence[i] = token.endswith((".</w>", "!</w>", "?</w>"))
-        self.of_word: dict[str, bytes] = {}
         self.of_chunk: dict[str, bytes] = {}
         self.marks = self._learn(list(".,;:"))
 
@@ -113,18 +112,8 @@ class WordEncoder:
 
     def _of_words(self, words: list[str]) -> list[bytes]:
         """The ids of words, found once for each."""
-        found = list(map(self.of_word.get, words))
-        if new := [w for w, ids in zip(words, found, strict=True) if ids is None]:
-            learnt = self._learn(list(dict.fromkeys(new)))
-            found = [learnt[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            self._keep(self.of_word, learnt)
-        return found
-
-    def _keep(self, cache: dict[str, bytes], learnt: dict[str, bytes]) -> None:
-        """A cache that holds its share of the bytes starts anew."""
-        if len(cache) * ENTRY_BYTES > CACHED_BYTES // 2:
-            cache.clear()
-        cache.update((n, ids) for n, ids in learnt.items() if len(n) <= LONGEST_CACHED)
+        learnt = self._learn(list(dict.fromkeys(words)))
+        return [learnt[w] for w in words]
 
     def _odd(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks that are not plain words."""
@@ -166,7 +155,11 @@ class WordEncoder:
             learnt = self._learn_chunks(chunks.take(pa.array(lost, pa.int64())))
             for k, ids in zip(lost, learnt, strict=True):
                 found[k] = ids
-            self._keep(self.of_chunk, dict(zip([names[k] for k in lost], learnt, strict=True)))
+            if len(self.of_chunk) * ENTRY_BYTES > CACHED_BYTES:  # a full cache starts anew
+                self.of_chunk.clear()
+            for k, ids in zip(lost, learnt, strict=True):
+                if len(names[k]) <= LONGEST_CACHED:
+                    self.of_chunk[names[k]] = ids
         return found
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:

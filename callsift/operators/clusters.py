@@ -23,7 +23,9 @@ from callsift.session import written
 FALLBACK_K = 18
 CENTRE_CELLS = 1 << 23  # numbers in the centres that share a pass: 64 MB
 SEED_ROWS = 4096  # rows that first centres are drawn from
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 512
+PART_ROWS = 1 << 14  # of a task in a pass; smaller tables have up to LEAST_PARTS tasks, a block each at least
+LEAST_PARTS = 16
 CELLS = 1 << 21  # products a task holds at a time
 
 
@@ -138,8 +140,10 @@ def packed(features: DataFrame, col: str = "features") -> DataFrame:
                     [pa.array([b.tobytes()], pa.binary()) for b in blobs], ["lengths", "idx", "val"]
                 )
 
-    blocks = features.select(idx.alias("idx"), val.alias("val")).mapInArrow(run, "lengths binary, idx binary, val binary")
-    return written(blocks, "feature-blocks")
+    n = features.count()
+    parts = max(-(-n // PART_ROWS), min(LEAST_PARTS, -(-n // BLOCK_ROWS)), 1)
+    spread = features.select(idx.alias("idx"), val.alias("val")).repartition(parts)
+    return written(spread.mapInArrow(run, "lengths binary, idx binary, val binary"), "feature-blocks")
 
 
 def _unpacked(batch: pa.RecordBatch) -> Iterator[Rows]:

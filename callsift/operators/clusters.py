@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ SEED_ROWS = 4096  # rows that first centres are drawn from
 BLOCK_ROWS = 512
 PART_ROWS = 1 << 14  # of a task in a pass; smaller tables have up to LEAST_PARTS tasks, a block each at least
 LEAST_PARTS = 16
-CELLS = 1 << 21  # products a task holds at a time
+CELLS = 1 << 22  # products a task holds at a time
 
 
 # --- rows as arrays -------------------------------------------------------------------------------
@@ -114,15 +115,19 @@ def _owners(rows: Rows, starts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.nd
     """Of each row and start the nearest centre, the first on ties, and the squared distance to it."""
     matrix = np.concatenate(starts).T.copy()
     half = (matrix**2).sum(axis=0)
-    edges = np.cumsum([0, *map(len, starts)])
+    alike = [(k, len(list(same))) for k, same in groupby(map(len, starts))]  # starts of one k, side by side
     own = np.empty((len(rows.lengths), len(starts)), np.int64)
     far = np.empty((len(rows.lengths), len(starts)))
     for at, part in rows.parts(CELLS // max(matrix.shape[1], 1)):
         gaps = half - 2 * part.dots(matrix)
-        here = slice(at, at + len(part.lengths))
-        for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            own[here, r] = gaps[:, a:b].argmin(axis=1)
-            far[here, r] = gaps[:, a:b].min(axis=1)
+        n = len(part.lengths)
+        first = column = 0
+        for k, m in alike:
+            each = gaps[:, column : column + k * m].reshape(n, m, k)
+            best = each.argmin(axis=2)
+            own[at : at + n, first : first + m] = best
+            far[at : at + n, first : first + m] = np.take_along_axis(each, best[:, :, None], axis=2)[:, :, 0]
+            first, column = first + m, column + k * m
     return own, np.maximum(far + rows.squares[:, None], 0)
 
 

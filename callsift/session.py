@@ -13,10 +13,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share for intermediate tables.
 
     It is the one the cluster names in ``spark.checkpoint.dir``; where that is unset, the session's
-    checkpoint folder; else a folder below the warehouse.
+    checkpoint folder; else a folder below the warehouse. On a cluster that must not be a disk of one
+    machine, so there a warehouse of ``file:`` is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return where or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_callsift"
+    if where:
+        return where
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {warehouse} is local")
+    return warehouse + "/_callsift"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

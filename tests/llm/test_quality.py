@@ -142,7 +142,7 @@ POLISH = "w i na z do nie się jest to że o jak po co tak za od ale czy ich prz
 RARE = "dom miasto rzeka człowiek droga praca szkoła woda ziemia noc dzień chleb okno drzewo ogród pole".split()
 
 
-def polish(seed, n=90):
+def polish(seed, n=300):
     rng = random.Random(seed)
     return " ".join(rng.choice(POLISH if rng.random() < 0.45 else RARE) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
 

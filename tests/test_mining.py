@@ -150,3 +150,23 @@ def test_statistics(spark):
     assert (ls.median, ls.p90) == tuple(np.percentile(lengths, [50, 90]))
     audit = rep.placeholder_audit(spark.createDataFrame([("a [X] {date}",), ("{DATE}",), ("[]",)], "utterance string")).first()
     assert (audit.square_left, audit.slots_found) == (1, 2)
+
+
+@pytest.mark.parametrize("full", [True, False])
+def test_a_pass_sums_every_start_afresh_or_by_changes(spark, full, monkeypatch):
+    monkeypatch.setattr(clu, "PIECE", 16)  # several pieces
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(700, 5)) * (1 if full else rng.random((700, 5)) < 0.4)
+    make = (lambda p: Vectors.dense(p.tolist())) if full else (lambda p: Vectors.sparse(5, list(enumerate(p.tolist()))))
+    blocks = clu.packed(spark.createDataFrame([(make(p),) for p in points], ["features"]))
+    starts = [clu.Start(k, points[rng.integers(0, 700, k)].copy()) for k in (2, 3, 3)]
+    for _ in range(3):
+        centres = [s.centres for s in starts]
+        clu._pass(blocks, starts, afresh=full)
+        for s, c in zip(starts, centres, strict=True):
+            gaps = ((points[:, None] - c) ** 2).sum(-1)
+            own = gaps.argmin(axis=1)
+            assert np.allclose(s.sums, [points[own == j].sum(axis=0) for j in range(len(c))])
+            assert s.counts.tolist() == np.bincount(own, minlength=len(c)).tolist()
+            assert abs(s.cost - gaps.min(axis=1).sum()) < 1e-6
+            s.step(0.0, False)

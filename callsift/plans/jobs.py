@@ -351,9 +351,15 @@ def enforce_whitelist(
     max_rows: int = lex.MAX_PER_INTENT,
     min_rows: int = lex.MIN_PER_INTENT,
 ) -> dict[str, DataFrame]:
-    """Whitelisted, de-duplicated and capped rows, the intents below the minimum, and new splits."""
-    kept = utt.cap_per_intent(
-        utt.dedup_pairs(utt.whitelist(utterances, intents), list(order)), order, max_rows
+    """Whitelisted, de-duplicated and capped rows, the intents below the minimum, and new splits.
+
+    The kept rows, at most ``max_rows`` an intent, are written once; everything else reads them there.
+    """
+    kept = written(
+        utt.cap_per_intent(
+            utt.dedup_pairs(utt.whitelist(utterances, intents), list(order)), order, max_rows
+        ),
+        "kept",
     )
     return {
         "utterances": kept,

@@ -208,3 +208,22 @@ def test_not_in_base_with_hot_copies(spark, bounded):
         assert len(kept) == len(want) and set(kept) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_whitelist_outputs_read_the_kept_rows_once_written(spark):
+    rows = [("z", k, 0, "ab"[k % 2], f"utterance number {k // 2}") for k in range(60)]
+    df = spark.createDataFrame(rows, "source_zip string, ord long, pos long, intent_id string, utterance string")
+    out = jobs.enforce_whitelist(df, ("source_zip", "ord", "pos"), ("a", "b"), max_rows=20, min_rows=25)
+    assert sorted(r["ord"] for r in out["utterances"].collect()) == list(range(40))
+    assert {tuple(r) for r in out["below_minimum"].collect()} == {("a", 20), ("b", 20)}
+    for part in out.values():  # neither the source nor its de-duplication stands in a later plan
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" not in plan and "_key" not in plan, plan
+
+
+def test_labels_of_the_checks_are_computed_once(spark):
+    from checks import views
+
+    plan = views.utterances(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.strip(" +-:").startswith("Filter")]
+    assert filters and not any("RLIKE" in line for line in filters)

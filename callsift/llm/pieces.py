@@ -96,15 +96,17 @@ class Pieces:
         prefix = self.hashes(codes[:, low:stop])
         found = []
         for size in range(1, min(self.longest, stop) + 1):
-            ends = np.arange(max(first + 1, size), stop + 1)
-            if not len(ends):
+            lowest = max(first + 1, size)
+            if lowest > stop:
                 continue
-            hashed = prefix[:, ends - low] - prefix[:, ends - size - low] * self.powers[size]
+            a, b = lowest - low, stop + 1 - low
+            hashed = prefix[:, a:b] - prefix[:, a - size : b - size] * self.powers[size]
             row, k = np.nonzero(self.likely[hashed >> LIKELY_SHIFT])
-            hashed, end = hashed[row, k], ends[k]
+            hashed, end = hashed[row, k], k + lowest
             at = np.minimum(np.searchsorted(self.keys, hashed), len(self.keys) - 1)
-            ids = self.ids[at]
-            same = (self.keys[at] == hashed) & (ids >= 0)
+            hit = np.flatnonzero((self.keys[at] == hashed) & (self.ids[at] >= 0))
+            row, end, ids = row[hit], end[hit], self.ids[at[hit]]
+            same = np.ones(len(ids), bool)
             for i in range(size):
                 same &= self.codes[ids, i] == codes[row, end - size + i]
             if size < self.longest:

@@ -170,3 +170,32 @@ def test_a_pass_sums_every_start_afresh_or_by_changes(spark, full, monkeypatch):
             assert s.counts.tolist() == np.bincount(own, minlength=len(c)).tolist()
             assert abs(s.cost - gaps.min(axis=1).sum()) < 1e-6
             s.step(0.0, False)
+
+
+def test_starts_share_passes_and_end_one_by_one(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(150, 6)) * (rng.random((150, 6)) < 0.45)
+    df = spark.createDataFrame([(Vectors.sparse(6, [(i, v) for i, v in enumerate(p) if v]),) for p in points.tolist()], ["features"])
+    monkeypatch.setattr(clu, "CENTRE_CELLS", 6 * 5)  # room for two starts
+    seen = []
+    whole = clu._pass
+
+    def spied(blocks, starts, *rest):
+        kept = whole(blocks, starts, *rest)
+        seen.append(list(starts))
+        for s in starts:
+            gaps = ((points[:, None] - s.centres) ** 2).sum(-1)
+            own = gaps.argmin(axis=1)
+            assert s.counts.tolist() == np.bincount(own, minlength=s.k).tolist()
+            assert np.allclose(s.sums, [points[own == j].sum(axis=0) for j in range(s.k)])
+            assert abs(s.cost - gaps.min(axis=1).sum()) < 1e-6
+        return kept
+
+    monkeypatch.setattr(clu, "_pass", spied)
+    found = clu.kmeans_all(df, [2, 3], n_init=2, seed=5)
+    turns = [({id(s) for s in a}, {id(s) for s in b}) for a, b in zip(seen, seen[1:], strict=False)]
+    assert any(a & b and b - a for a, b in turns)  # one came in while another went on
+    for k, model in found.items():
+        own = ((points[:, None] - model.centres) ** 2).sum(-1).argmin(axis=1)
+        means = np.array([points[own == j].mean(axis=0) for j in range(k)])
+        assert np.abs(means - model.centres).max() <= 1e-4

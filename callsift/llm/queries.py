@@ -72,8 +72,7 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_license_scans(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    found = licenses.scan(docs, licenses.fit(docs))
+    found = licenses.find(table(spark, sf, "documents"))
     return found.withColumns({c: F.round(c, 4) for c in ("probability", "overlap")})
 
 

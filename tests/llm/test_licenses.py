@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from callsift.llm import licenses
 
 KNOWN = {
@@ -83,3 +85,10 @@ def test_recall_of_sentences_that_no_fit_has_seen(spark):
     found = {(r["doc_id"], r["family"]) for r in licenses.scan(docs, model).collect()}
     hits = sum((k, f) in found for k, (f, _) in enumerate(asked))
     assert hits >= 0.9 * len(asked)
+
+
+def test_paragraphs_of_all_documents_make_the_unknown_class(spark):
+    ids = [r["id"] for r in spark.range(1500).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, "We saw the apache cross the valley" if k >= 1000 else "We saw the river below us") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert licenses.scan(docs, licenses.fit(docs)).count() <= licenses.Shape().error * len(rows)

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from callsift.session import written
+
 UNKNOWN = "unknown"
 
 # Names, notices and paragraphs of the licences as their publishers word them.
@@ -373,7 +375,7 @@ def _fitted(
     likest = F.greatest(*(overlap(F.col("_pairs"), F.col("own"), t) for f in families for t in templates[f]), F.lit(0.0))
     plain = alike.where((F.size("_pairs") < 2) | (likest < least)).groupBy("key").agg(F.sum("n").alias("n"))
     # Cut from its plan: each step of the regression is a job, whose tasks would carry all of it.
-    plain = plain.localCheckpoint(storageLevel=StorageLevel.DISK_ONLY)
+    plain = written(plain, "unknown-windows")
     counting = CountVectorizerModel.from_vocabulary(vocabulary(templates, names), "_grams", "_features", binary=True)
     rows = _training(plain, n, examples(templates, names, shape, random.Random(seed)), shape)
     rows = rows.coalesce(windows.sparkSession.sparkContext.defaultParallelism)

@@ -92,3 +92,32 @@ def test_paragraphs_of_all_documents_make_the_unknown_class(spark):
     rows = [(i, "We saw the apache cross the valley" if k >= 1000 else "We saw the river below us") for k, i in enumerate(ids)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert licenses.scan(docs, licenses.fit(docs)).count() <= licenses.Shape().error * len(rows)
+
+
+def test_survives_lost_executors(spark, monkeypatch):
+    """What executors hold is dropped before the training rows, the thresholds and the scan read it."""
+    rows = [(k, f"We saw the apache cross river {k}\n{list(KNOWN)[k % len(KNOWN)]}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def found(lost):
+        def losing(step):
+            def run(*args):
+                lost()
+                return step(*args)
+
+            return run
+
+        with monkeypatch.context() as m:
+            for name in ("_training", "_thresholds", "_found"):
+                m.setattr(licenses, name, losing(getattr(licenses, name)))
+            result = licenses.find(docs)
+        lost()
+        return {(r["doc_id"], r["line"], r["family"]) for r in result.collect() if r["confirmed"]}
+
+    def lose():
+        for blocks in list(spark.sparkContext._jsc.getPersistentRDDs().values()):
+            blocks.unpersist(True)
+
+    whole = found(lambda: None)
+    assert whole == {(k, 1, list(KNOWN.values())[k % len(KNOWN)]) for k in range(40)}
+    assert found(lose) == whole

@@ -94,6 +94,13 @@ def test_paragraphs_of_all_documents_make_the_unknown_class(spark):
     assert licenses.scan(docs, licenses.fit(docs)).count() <= licenses.Shape().error * len(rows)
 
 
+def test_lines_of_the_last_documents_in_hash_order_are_unknown_too(spark):
+    ids = [r["id"] for r in spark.range(1500).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, "Software license news of the week" if k >= 1000 else "We saw the river below us") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert licenses.scan(docs, licenses.fit(docs)).count() <= licenses.Shape().error * len(rows)
+
+
 def test_survives_lost_executors(spark, monkeypatch):
     """What executors hold is dropped before the training rows, the thresholds and the scan read it."""
     rows = [(k, f"We saw the apache cross river {k}\n{list(KNOWN)[k % len(KNOWN)]}") for k in range(40)]

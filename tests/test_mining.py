@@ -14,6 +14,7 @@ from callsift.operators import clusters as clu
 from callsift.operators import reports as rep
 from callsift.operators import terms as ops
 from callsift.operators.classify import train_intent_classifier
+from callsift.operators.held import Held, Search
 from callsift.plans import jobs
 
 WORDS = "card lost balance wire fee loan login password open close the a my account atm pin".split()
@@ -199,3 +200,64 @@ def test_starts_share_passes_and_end_one_by_one(spark, monkeypatch):
         own = ((points[:, None] - model.centres) ** 2).sum(-1).argmin(axis=1)
         means = np.array([points[own == j].mean(axis=0) for j in range(k)])
         assert np.abs(means - model.centres).max() <= 1e-4
+
+
+def lloyd(points, centres, tolerance, max_iter):
+    """Rounds, centres, cost and labels of plain k-means."""
+    for rounds in range(1, max_iter + 1):
+        gaps = ((points[:, None] - centres) ** 2).sum(-1)
+        own = gaps.argmin(axis=1)
+        means = np.array([points[own == j].mean(axis=0) if (own == j).any() else c for j, c in enumerate(centres)])
+        if rounds == max_iter or np.sqrt(((means - centres) ** 2).sum(axis=1)).max() <= tolerance:
+            return rounds, centres, gaps.min(axis=1).sum(), own
+        centres = means
+
+
+@pytest.mark.parametrize("kind", ["sparse", "full", "mixed", "short", "signed"])
+def test_bounded_rounds_are_plain_rounds(kind):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(3000, 9)) if kind in ("full", "mixed", "signed") else rng.random((3000, 9))
+    if kind != "full":
+        points *= rng.random(points.shape) < 0.4
+        points[:40] = 0  # rows of no entry
+    if kind == "mixed":
+        points[500:900] = rng.normal(size=(400, 9))
+    if kind == "short":
+        points = points.astype(np.float32).astype(np.float64)
+    places = [np.flatnonzero(p) for p in points]
+    entries = np.array([len(p) for p in places]), np.concatenate(places), np.concatenate([p[p != 0] for p in points])
+    held = Held.of(*entries, 9)
+    assert (held.val.dtype == np.float32) == (kind == "short") and len(held) == 3000
+    assert len(held.full) == sum(len(p) == 9 for p in places)
+    order = np.argsort([9 if len(p) == 9 else len(p) for p in places], kind="stable")  # of the held rows
+    for k, max_iter in ((1, 50), (2, 50), (7, 50), (7, 6), (7, 1), (12, 300)):
+        first = points[order][rng.choice(np.arange(100, 3000), k, replace=False)] + rng.normal(size=(k, 9)) * 0.01
+        if k == 12:
+            first[5] = 1e3  # a centre that no row is near
+        rounds, centres, cost, own = lloyd(points[order], first, 1e-4, max_iter)
+        found = Search(held, first).run(1e-4, max_iter)
+        assert found.rounds == rounds
+        assert np.allclose(found.centres, centres, atol=1e-9) and abs(found.cost - cost) < 1e-6 * cost
+        assert found.own.tolist() == own.tolist()
+        if rounds > 1:
+            assert np.allclose(held.means(found.before, found.centres), centres, atol=1e-9)
+
+
+def test_small_tables_are_searched_without_passes(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    points = rng.random((700, 8)) * (rng.random((700, 8)) < 0.5)
+    df = spark.createDataFrame([(Vectors.sparse(8, [(i, v) for i, v in enumerate(p) if v]),) for p in points.tolist()], ["features"])
+    with monkeypatch.context() as m:
+        m.setattr(clu, "HELD_BYTES", 0)
+        passed = clu.kmeans_all(df, [2, 5], n_init=3)
+    monkeypatch.delattr(clu, "_pass")  # a pass a round is what took too long
+    found = clu.kmeans_all(df, [2, 5], n_init=3)
+    for k, model in found.items():
+        assert abs(model.cost - passed[k].cost) < 1e-6
+        assert np.allclose(model.centres, passed[k].centres, atol=1e-6)
+        gaps = ((points[:, None] - model.centres) ** 2).sum(-1)
+        assert abs(gaps.min(axis=1).sum() - model.cost) < 1e-6
+        means = [points[gaps.argmin(axis=1) == j].mean(axis=0) for j in range(k)]
+        assert np.abs(np.array(means) - model.centres).max() <= 1e-4
+    few = clu.kmeans_all(df.limit(3), [5], n_init=1)[5]
+    assert few.getK() == 3 and few.cost < 1e-9

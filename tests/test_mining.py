@@ -261,3 +261,18 @@ def test_small_tables_are_searched_without_passes(spark, monkeypatch):
         assert np.abs(np.array(means) - model.centres).max() <= 1e-4
     few = clu.kmeans_all(df.limit(3), [5], n_init=1)[5]
     assert few.getK() == 3 and few.cost < 1e-9
+
+
+def test_full_rows_are_scored_without_passes(spark, monkeypatch):
+    monkeypatch.delattr(clu, "_pass")
+    rng = np.random.default_rng(33)
+    middle = rng.normal(size=(4, 6)) * 5
+    points = middle[rng.integers(0, 4, 600)] + rng.normal(size=(600, 6))
+    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(points.tolist())], ["id", "features"])
+    found = clu.choose_k(df, ["id"], k_min=2, k_max=6, n_init=3)
+    assert found.k == 4 and list(found.scores) == [2, 3, 4, 5, 6]
+    for model in found.models.values():
+        gaps = ((points[:, None] - model.centres) ** 2).sum(-1)
+        means = [points[gaps.argmin(axis=1) == j].mean(axis=0) for j in range(model.getK())]
+        assert np.abs(np.array(means) - model.centres).max() <= 1e-4
+        assert abs(gaps.min(axis=1).sum() - model.cost) < 1e-6
